@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quartzflow.functions.ids import account_id, annotator_id
-from quartzflow.llm import consensus, leakage, packing
+from quartzflow.llm import consensus, leakage, packing, pii
 from quartzflow.session import table
 
 # ---- 5: consensus ---------------------------------------------------------------------------------------------------
@@ -77,7 +77,19 @@ def p7_spans(spark: SparkSession, sf: str) -> DataFrame:
     return _leaks(spark, sf).withColumnsRenamed({"doc": "doc_id", "item": "item_id"})
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_consensus, p5_annotators, p5_agreement, p6_found, p6_contents, p6_fill, p7_found, p7_spans)}
+# ---- 8: personal information ----------------------------------------------------------------------------------------
+
+
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.personal_information(table(spark, sf, "documents"), "doc_id", "text")
+
+
+def p8_redacted(spark: SparkSession, sf: str) -> DataFrame:
+    """The texts with typed placeholders."""
+    return pii.redacted(table(spark, sf, "documents"), "doc_id", "text")
+
+
+QUERIES = {f.__name__: f for f in (p5_found, p5_consensus, p5_annotators, p5_agreement, p6_found, p6_contents, p6_fill, p7_found, p7_spans, p8_found, p8_redacted)}
 
 SQL = {
     "p5_agreement": (
