@@ -111,13 +111,13 @@ def motifs(edges: DataFrame) -> DataFrame:
     deg = e.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("d"))
     j = e.join(deg.select(F.col("node").alias("a"), F.col("d").alias("da")), "a").join(deg.select(F.col("node").alias("b"), F.col("d").alias("db")), "b")
     up = (F.col("da") < F.col("db")) | ((F.col("da") == F.col("db")) & (F.col("a") < F.col("b")))
-    o = written(j.select(F.when(up, F.col("a")).otherwise(F.col("b")).alias("u"), F.when(up, F.col("b")).otherwise(F.col("a")).alias("v"), F.greatest(F.struct("da", "a"), F.struct("db", "b")).alias("top")), "oriented")
+    o = written(j.select(F.when(up, F.col("a")).otherwise(F.col("b")).alias("u"), F.when(up, F.col("b")).otherwise(F.col("a")).alias("v")), "oriented")
     wedge = o.select("u", "v").join(o.select("u", F.col("v").alias("w")), "u").filter("v < w")
     tri = wedge.join(e.withColumnsRenamed({"a": "v", "b": "w"}), ["v", "w"]).agg(F.count("*").alias("triangles"))
     wedges = deg.agg(F.sum(F.col("d") * (F.col("d") - 1) / 2).cast("bigint").alias("wedges"))
     # Four-cycles: pairs of two-step paths between the same ends whose middles and far end rank below the near end.
-    rank = j.select(F.struct("da", "a").alias("x"), F.struct("db", "b").alias("y"))
-    both = rank.union(rank.select("y", "x")).select(F.struct(F.col("x.da").alias("d"), F.col("x.a").alias("n")).alias("x"), F.struct(F.col("y.da" if "da" in rank.schema["y"].dataType.names else "y.db").alias("d"), F.col("y.a" if "a" in rank.schema["y"].dataType.names else "y.b").alias("n")).alias("y"))
+    x, y = (F.struct(F.col(f"d{c}").alias("d"), F.col(c).alias("n")) for c in "ab")
+    both = j.select(x.alias("x"), y.alias("y")).union(j.select(y.alias("x"), x.alias("y")))
     lower = both.filter("y < x").select("x", F.col("y").alias("m"))
     paths = lower.join(both.select(F.col("x").alias("m"), F.col("y").alias("z")), "m").filter("z < x").groupBy("x", "z").agg(F.count("*").alias("p"))
     c4 = paths.agg(F.coalesce(F.sum(F.col("p") * (F.col("p") - 1) / 2), F.lit(0)).cast("bigint").alias("four_cycles"))
