@@ -73,8 +73,8 @@ def first_deliveries(df: DataFrame, key: Column, order: str) -> DataFrame:
     placed = df.select(
         key.alias("k"),
         F.coalesce(F.col(order).cast("bigint"), F.lit(2**63 - 1)).alias("o"),
-        F.xxhash64("_metadata.file_path").alias("file_id"),
-        F.col("_metadata.row_index").alias("row"),
+        F.xxhash64(df.metadataColumn("_metadata").getField("file_path")).alias("file_id"),
+        df.metadataColumn("_metadata").getField("row_index").alias("row"),
     )
     # Without a key, the place stands in for it.
     placed = placed.withColumn("kf", F.when(F.col("k").isNull(), F.col("file_id"))).withColumn("kr", F.when(F.col("k").isNull(), F.col("row")))
@@ -108,7 +108,8 @@ def one_copy_each(spark: SparkSession, path: str, key: Column, order: str) -> De
         .write.partitionBy("shard")
         .parquet(at)
     )
-    mark = _is_kept(at, shards)(F.xxhash64("_metadata.file_path"), F.col("_metadata.row_index"))
+    meta = df.metadataColumn("_metadata")
+    mark = _is_kept(at, shards)(F.xxhash64(meta.getField("file_path")), meta.getField("row_index"))
     flag = "__kept"
     while flag in df.columns:
         flag += "_"

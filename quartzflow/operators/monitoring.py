@@ -76,7 +76,7 @@ def alert_sessions(alerts: DataFrame, gap_us: int) -> DataFrame:
     """Alerts (wallet, pair, at, detector, score) of a wallet and pair in sessions that a pause of ``gap_us`` or more ends."""
     w = Window.partitionBy("wallet", "pair").orderBy("at", "detector")
     new = F.coalesce((F.unix_micros("at") - F.lag(F.unix_micros("at")).over(w) >= gap_us).cast("int"), F.lit(1))
-    s = alerts.withColumn("new", new).withColumn("session", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    s = alerts.withColumn("new", new).withColumn("session", F.sum("new").over(Window.partitionBy("wallet", "pair").orderBy("at").rangeBetween(Window.unboundedPreceding, 0)))
     g = s.groupBy("wallet", "pair", "session").agg(F.unix_micros(F.min("at")).alias("began"), F.count("*").alias("n"), F.max("score").alias("score"), F.array_join(F.sort_array(F.collect_set("detector")), ",").alias("detectors"))
     return g.drop("session")
 

@@ -32,10 +32,10 @@ def _masks(key: Column) -> list[Column]:
 
 
 def bloom_blocks(keys: DataFrame, key: str, n_keys: int) -> tuple[DataFrame, int]:
-    """(block, w0..w3) of the keys, and the number of blocks."""
+    """(block, __w0..__w3) of the keys, and the number of blocks."""
     blocks = max(1, n_keys * BITS_PER_KEY // (64 * WORDS))
     cols = [F.pmod(F.xxhash64(F.col(key), F.lit(0)), F.lit(blocks)).alias("block"), *[m.alias(f"m{k}") for k, m in enumerate(_masks(F.col(key)))]]
-    built = keys.select(*cols).groupBy("block").agg(*[F.bit_or(f"m{k}").alias(f"w{k}") for k in range(WORDS)])
+    built = keys.select(*cols).groupBy("block").agg(*[F.bit_or(f"m{k}").alias(f"__w{k}") for k in range(WORDS)])
     return built, blocks
 
 
@@ -45,14 +45,14 @@ def filter_bytes(n_keys: int) -> int:
 
 
 def maybe_present(refs: DataFrame, key: str, blocks: DataFrame, n_blocks: int) -> DataFrame:
-    """``refs`` with a column maybe: false where the key is certainly not among the parents."""
+    """``refs`` with a column __maybe: false where the key is certainly not among the parents."""
     masks = _masks(F.col(key))
     small = F.broadcast(blocks.withColumnRenamed("block", "__block"))
     joined = refs.join(small, F.pmod(F.xxhash64(F.col(key), F.lit(0)), F.lit(n_blocks)) == F.col("__block"), "left")
     hit = F.lit(True)
     for k in range(WORDS):
-        hit = hit & (F.col(f"w{k}").bitwiseAND(masks[k]) == masks[k])
-    return joined.withColumn("maybe", F.coalesce(hit, F.lit(False))).drop("__block", *[f"w{k}" for k in range(WORDS)])
+        hit = hit & (F.col(f"__w{k}").bitwiseAND(masks[k]) == masks[k])
+    return joined.withColumn("__maybe", F.coalesce(hit, F.lit(False))).drop("__block", *[f"__w{k}" for k in range(WORDS)])
 
 
 def lifetimes(parents: DataFrame, changes: DataFrame) -> DataFrame:
@@ -98,19 +98,19 @@ def orphans(refs: DataFrame, key: str, time: str, spans: DataFrame) -> DataFrame
         blocks, n_blocks = bloom_blocks(spans.select("key"), "key", n_keys)
         refs = maybe_present(refs, key, blocks, n_blocks)
     else:
-        refs = refs.withColumn("maybe", F.lit(True))
+        refs = refs.withColumn("__maybe", F.lit(True))
     # Both sides are salted, so that a key with a third of all references is spread over SALTS tasks.
     salted = refs.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in _hashable(refs)]), F.lit(SALTS)).cast("int"))
-    sure = salted.filter(~F.col("maybe")).select(*names)
-    right = spans.select(F.col("key").alias("__key"), "since", "until", F.explode(F.array(*[F.lit(k) for k in range(SALTS)])).alias("__right_salt"))
+    sure = salted.filter(~F.col("__maybe")).select(*names)
+    right = spans.select(F.col("key").alias("__key"), F.col("since").alias("__since"), F.col("until").alias("__until"), F.explode(F.array(*[F.lit(k) for k in range(SALTS)])).alias("__right_salt"))
     t = F.coalesce(F.col(time), F.lit("9999-12-31 23:59:59").cast("timestamp"))
-    on = (F.col(key) == F.col("__key")) & (F.col("__salt") == F.col("__right_salt")) & (F.col("since") <= t) & (F.col("until").isNull() | (t < F.col("until")))
-    checked = salted.filter("maybe").join(right.hint("merge"), on, "left_anti").select(*names)
+    on = (F.col(key) == F.col("__key")) & (F.col("__salt") == F.col("__right_salt")) & (F.col("__since") <= t) & (F.col("__until").isNull() | (t < F.col("__until")))
+    checked = salted.filter(F.col("__maybe")).join(right.hint("merge"), on, "left_anti").select(*names)
     return sure.unionByName(checked)
 
 
 def _hashable(df: DataFrame) -> list[str]:
-    return [c for c, kind in df.dtypes if not kind.startswith("map") and c != "maybe"]
+    return [c for c, kind in df.dtypes if not kind.startswith("map") and c != "__maybe"]
 
 
 def orphan_report(found: DataFrame, by: list[str], time: str) -> DataFrame:

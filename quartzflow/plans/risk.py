@@ -362,16 +362,16 @@ def cusum_alarms(spark, sf):
 
 @query(
     A
-    + ", n as (select *, coalesce((epoch_us(ts) - lag(epoch_us(ts)) over w >= 60000000)::int, 1) as new from al window w as (partition by wallet, pair order by ts, detector)), s as (select *, sum(new) over (partition by wallet, pair order by ts, detector rows unbounded preceding) as g from n)"
+    + ", n as (select *, coalesce((epoch_us(ts) - lag(epoch_us(ts)) over w >= 60000000)::int, 1) as new from al window w as (partition by wallet, pair order by ts, detector)), s as (select *, sum(new) over (partition by wallet, pair order by ts range unbounded preceding) as g from n)"
     " select wallet, pair, epoch_us(min(ts)) as began, count(*) as n, max(score) as score, string_agg(distinct detector, ',' order by detector) as detectors from s group by wallet, pair, g"
 )
 def alert_sessions(spark, sf):
     return monitoring.alert_sessions(alerts(spark, sf), 60_000_000)
 
 
-@query(A + ", c as (select a.wallet, a.ts, count(distinct b.detector) as k from al a join al b on a.wallet = b.wallet and b.ts between a.ts - interval 30 day and a.ts group by 1, 2) select wallet, cast(max(k) as int) as n_detectors from c group by 1 having max(k) >= 2")
+@query(A + ", c as (select a.wallet, a.ts, count(distinct b.detector) as k from al a join al b on a.wallet = b.wallet and b.ts between a.ts - interval 30 day and a.ts group by 1, 2) select wallet, cast(max(k) as int) as n_detectors from c group by 1 having max(k) >= 1")
 def consensus_alerts(spark, sf):
-    return monitoring.consensus_alerts(alerts(spark, sf), 30 * 86400 * 1_000_000, 2, ("wallet",))
+    return monitoring.consensus_alerts(alerts(spark, sf), 30 * 86400 * 1_000_000, 1, ("wallet",))
 
 
 @query(A + " select case when score >= 80 then 'pager' when score >= 50 and pair like 'USDX%' then 'stable-desk' else 'queue' end as destination, count(*) as n from al group by 1")

@@ -55,11 +55,11 @@ SCORE = "wallet string, ts timestamp, n bigint, mad double"
 _EXPECTED = [0.30103, 0.176091, 0.124939, 0.09691, 0.0791812, 0.0669468, 0.0579919, 0.0511525, 0.0457575]
 
 
-def decayed_digit_scores(sides: DataFrame, seconds: float, least: int = 20) -> DataFrame:
+def decayed_digit_scores(sides: DataFrame, seconds: float, least: int = 20, late: str = "1 hour") -> DataFrame:
     """First-digit MAD of each wallet over exponentially decayed counts, one row per wallet and batch.
 
     ``sides``: wallet, ts, digit. Rows that arrive behind the wallet's last time don't decay it but count with the
-    weight of their age. Wallets idle for a day lose their state. Wallets under ``least`` trades give a null MAD.
+    weight of their age. Wallets idle for a day of event time lose their state. Wallets under ``least`` trades give a null MAD.
     """
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -82,12 +82,12 @@ def decayed_digit_scores(sides: DataFrame, seconds: float, least: int = 20) -> D
                 if pd.notna(d):
                     counts[int(d) - 1] += w
         state.update((last, counts, n))
-        state.setTimeoutDuration(86_400_000)
+        state.setTimeoutTimestamp(max(int(last.timestamp() * 1000) + 86_400_000, state.getCurrentWatermarkMs() + 1))
         total = sum(counts)
         mad = sum(abs(c / total - p) for c, p in zip(counts, _EXPECTED)) / 9 if n >= least and total else None
         yield pd.DataFrame({"wallet": [key[0]], "ts": [last], "n": [n], "mad": [mad]})
 
-    return sides.groupBy("wallet").applyInPandasWithState(step, SCORE, STATE, "update", GroupStateTimeout.ProcessingTimeTimeout)
+    return sides.withWatermark("ts", late).groupBy("wallet").applyInPandasWithState(step, SCORE, STATE, "update", GroupStateTimeout.EventTimeTimeout)
 
 
 def cooled(alerts: DataFrame, threshold: float, pause_s: float) -> DataFrame:
