@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quartzflow.llm.texts import spread
+
 WORDS = 10
 SHARD_WORDS = 400_000
 SAMPLE = 16
@@ -205,7 +207,7 @@ def leaked_spans(corpus: DataFrame, doc: str, text: str, items: DataFrame, item:
     spark = corpus.sparkSession
     doc_kind, item_kind = corpus.schema[doc].dataType.simpleString(), items.schema[item].dataType.simpleString()
     schema = f"doc {doc_kind}, item {item_kind}, word_from bigint, word_to bigint, char_from bigint, char_to bigint"
-    src = corpus.select(F.col(doc).alias("doc"), F.col(text).alias("text")).filter("length(text) > 0")
+    src = spread(corpus.select(F.col(doc).alias("doc"), F.col(text).alias("text")).filter("length(text) > 0"))
 
     def block(part: list[tuple[int, str]]) -> DataFrame:
         sent = spark.sparkContext.broadcast(phrases_of(part, words))

@@ -22,6 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quartzflow.llm.texts import spread
 from quartzflow.session import scratch_path, written
 
 TYPES = ("email", "phone", "id_number", "address", "name")
@@ -87,22 +88,25 @@ _ES_ADDRESS = (
     rf"(?:{ES_STREETS})\.?[ ](?:(?:{ES_LINKS})[ ])*{_CAP}(?:[ ](?:(?:{ES_LINKS})[ ])*{_CAP}){{0,3}},?[ ](?:n\.?º[ ]?)?\d{{1,4}}(?:,[ ]\d{{1,2}}\.?[ºª](?:[ ][A-Z](?![\p{{L}}\p{{N}}]))?)?"
     rf"(?:,\s{{1,2}}\d{{5}}[ ]{_CAP}(?:[ ](?:(?:{ES_LINKS})[ ])?{_CAP})?)?"
 )
-ADDRESS = regex.compile(rf"(?<![\p{{L}}\p{{N}}])(?:{_EN_ADDRESS}|{_ES_ADDRESS}|{_DE_ADDRESS})(?![\p{{L}}\p{{N}}])")
+ADDRESS = regex.compile(rf"(?=[\p{{Lu}}\d])(?<![\p{{L}}\p{{N}}])(?:{_EN_ADDRESS}|{_ES_ADDRESS}|{_DE_ADDRESS})(?![\p{{L}}\p{{N}}])")
 # A number and capitalised words without a known kind of street: only good patterns make it an address.
-LOOSE_ADDRESS = regex.compile(rf"(?<![\p{{L}}\p{{N}}.,:-])\d{{1,5}}[A-Za-z]?(?:[ ]{_CAP}){{2,3}}(?:,\s{{1,2}}{_TOWN}(?:,?\s{{1,2}}(?:{_UKPC}|{_USPC}))?)?(?![\p{{L}}\p{{N}}])")
+LOOSE_ADDRESS = regex.compile(rf"(?=\d)(?<![\p{{L}}\p{{N}}.,:-])\d{{1,5}}[A-Za-z]?(?:[ ]{_CAP}){{2,3}}(?:,\s{{1,2}}{_TOWN}(?:,?\s{{1,2}}(?:{_UKPC}|{_USPC}))?)?(?![\p{{L}}\p{{N}}])")
 
 _T = r"\p{Lu}[\p{L}'’-]*\p{L}"
 _I = r"\p{Lu}\."
 _P = r"(?:(?:de la|de los|de|del|von|van|van der|zu|da|di)[ ])?"
-RUN = regex.compile(rf"(?<![\p{{L}}\p{{N}}@._*/-])(?:{_T}|{_I})(?:,?[ ]{_P}(?:{_T}|{_I}))+(?![\p{{L}}\p{{N}}@*_])")
+RUN = regex.compile(rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{N}}@._*/-])(?:{_T}|{_I})(?:,?[ ]{_P}(?:{_T}|{_I}))+(?![\p{{L}}\p{{N}}@*_])")
 PIECE = regex.compile(rf"({_P})({_T}|{_I})(,?)")
 _WORD = re.compile(r"[^\W\d_]+|\d+|\n|\S")
 
 
+_LEADING_ZERO = re.compile(r"(?<!\d)0")
+_MASK = str.maketrans("123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0" * 9 + "A" * 26)
+
+
 def mask(s: str) -> str:
     """The shape of a number: letters A, digits 0, a leading zero o."""
-    out = regex.sub(r"\d", "0", regex.sub(r"(?<!\d)0", "o", s))
-    return regex.sub(r"[A-Z]", "A", out)
+    return _LEADING_ZERO.sub("o", s).translate(_MASK)
 
 
 def _plain(w: str) -> str:
@@ -190,7 +194,7 @@ def _spans(rx: regex.Pattern, text: str) -> list[tuple[int, int]]:
     return [m.span() for m in rx.finditer(text)]
 
 
-_SIGN = re.compile(r"@|[\[({ ](?:at|ät|arroba)[\])} ]", re.I)
+_SIGN = re.compile(r"@|[\[({]\s?(?:at|ät|arroba)\s?[\])}]|[ ](?:at|arroba)[ ](?=[\w.-]{1,200}[\[({ ]{1,2}(?:dot|punkt|punto)\b)", re.I)
 LONGEST_DOMAIN = 300
 
 
@@ -249,7 +253,7 @@ def edges(docs: DataFrame, text: str) -> DataFrame:
                 {c: pa.array([k[j] for k in keys], kind) for j, (c, kind) in enumerate([("type", pa.string()), ("pattern", pa.string()), ("instance", pa.string()), ("family", pa.string()), ("seed", pa.bool_())])} | {"n": pa.array(seen.values(), pa.int64())}
             )
 
-    src = docs.select(F.col(text).alias("text")).filter("length(text) > 0")
+    src = spread(docs.select(F.col(text).alias("text")).filter("length(text) > 0"))
     return src.mapInArrow(run, "type string, pattern string, instance string, family string, seed boolean, n bigint").groupBy("type", "pattern", "instance", "family", "seed").agg(F.sum("n").alias("n"))
 
 
@@ -407,7 +411,7 @@ def personal_information(docs: DataFrame, doc: str, text: str) -> DataFrame:
                     found.append(s)
             yield pa.RecordBatch.from_pydict({"doc": b.column("doc").take(pa.array(at, pa.int64())), "pii_type": pa.array(types, pa.string()), "pii_text": pa.array(found, pa.string())})
 
-    src = docs.select(F.col(doc).alias("doc"), F.col(text).alias("text")).filter("length(text) > 0")
+    src = spread(docs.select(F.col(doc).alias("doc"), F.col(text).alias("text")).filter("length(text) > 0"))
     return src.mapInArrow(run, f"doc {kind}, pii_type string, pii_text string").withColumnRenamed("doc", doc)
 
 
@@ -432,5 +436,5 @@ def redacted(docs: DataFrame, doc: str, text: str) -> DataFrame:
                 counts.append(len(spans))
             yield pa.RecordBatch.from_pydict({"doc": b.column("doc"), "text": pa.array(texts, pa.string()), "n_found": pa.array(counts, pa.int32())})
 
-    src = docs.select(F.col(doc).alias("doc"), F.col(text).alias("text"))
+    src = spread(docs.select(F.col(doc).alias("doc"), F.col(text).alias("text")))
     return src.mapInArrow(run, f"doc {kind}, text string, n_found int").withColumnsRenamed({"doc": doc, "text": text})
