@@ -14,7 +14,7 @@ from quartzflow.session import table
 
 @lru_cache(maxsize=8)
 def _kept(app: str, sf: str, files: tuple[str, ...]) -> delivery.Deduplicated:
-    spark = SparkSession.getActiveSession()
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
     return delivery.one_copy_each(spark, f"{sf}/json_trade_0.parquet", trade_id("trade_id"), "delivery_id")
 
 
