@@ -171,6 +171,14 @@ def lifecycle(sides: DataFrame, created: DataFrame, now: Column) -> DataFrame:
     """Age, first and last trade in days before ``now``, active days, and the last day against the 29 days before."""
     day = 86_400_000_000
     ago = F.floor((F.unix_micros(now) - F.unix_micros("ts")) / day)
+def dollar_totals(trades: DataFrame, dollar: str = "USDX") -> DataFrame:
+    """Exact volume in dollars of each pair where one leg is the dollar; trades without an amount and without a rate are counted apart."""
+    code = lambda c: F.split(c, ":")[0]
+    usd = F.when(code("base_asset") == dollar, F.col("amount").cast("decimal(38,13)")).when(code("counter_asset") == dollar, (F.col("amount") * F.col("price")).cast("decimal(38,13)"))
+    g = trades.withColumn("usd", usd).groupBy("pair")
+    return g.agg(F.count("*").alias("n"), F.count("usd").alias("n_rated"), F.count_if(F.col("amount").isNull()).alias("n_null"), F.count_if(F.col("amount").isNotNull() & F.col("usd").isNull()).alias("n_unrated"), F.round(F.sum("usd"), 2).cast("decimal(38,2)").alias("usd"))
+
+
     per = sides.groupBy("wallet", ago.alias("ago")).agg(F.count("*").alias("n"))
     g = per.groupBy("wallet").agg(F.max("ago").alias("first_ago"), F.min("ago").alias("last_ago"), F.count("*").alias("active_days"), F.sum(F.when(F.col("ago") == 0, F.col("n")).otherwise(0)).alias("today"), F.sum(F.when(F.col("ago").between(1, 29), F.col("n")).otherwise(0)).alias("before"))
     j = g.join(created, "wallet", "left")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quartzflow.functions import scalar
 from quartzflow.functions.ids import account_id
-from quartzflow.operators import digits, graphs, joins, monitoring, scoring, series, sketches
+from quartzflow.operators import digits, graphs, joins, monitoring, scoring, series, sketches, wallets
 from quartzflow.plans.ledger import ACC, C_SQL, S, T, _counts_sql, _DIG, created, effects, now, sides, trades
 from quartzflow.session import scratch_path, table
 from quartzflow.sources import storage
@@ -514,10 +514,7 @@ def stroops(spark, sf):
 )
 def normalised_totals(spark, sf):
     """Volumes in dollars where one leg is the dollar; others have no rate and are counted apart."""
-    t = trades(spark, sf).filter("amount < 1000000")
-    code = lambda c: F.split(c, ":")[0]
-    usd = F.when(code("base_asset") == "USDX", F.col("amount").cast("double")).when(code("counter_asset") == "USDX", F.col("amount").cast("double") * F.col("price").cast("double"))
-    return t.groupBy("pair").agg(F.count("*").alias("n"), F.count(usd).alias("n_rated"), F.round(F.sum(usd), 2).alias("usd"))
+    return wallets.dollar_totals(trades(spark, sf))
 
 
 @query(T + " select 2024 as year, extract(month from ts)::int as month, count(*) as n, count(distinct base) as n_base from t where ts >= timestamp '2024-03-01' and ts < timestamp '2024-05-01' group by 2")
