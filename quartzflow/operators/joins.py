@@ -103,9 +103,27 @@ def as_of(left: DataFrame, right: DataFrame, key: str, value: str, ts: str = "ts
     return out.select(*names, F.when(fresh, F.col("__got.v")).alias(value))
 
 
-def timing_correlation(a: DataFrame, b: DataFrame, unit: str = "day", least: int = 5, threshold: float = 0.8) -> DataFrame:
-    """Wallets of two venues whose activity histograms over the units both were active in correlate: (wallet, other, n, r)."""
-    h = lambda df, name, c: df.groupBy(F.col("wallet").alias(name), F.date_trunc(unit, "ts").alias("bin")).agg(F.count("*").alias(c))
-    j = h(a, "wallet", "x").join(h(b, "other", "y"), "bin").filter("wallet <> other")
-    g = j.groupBy("wallet", "other").agg(F.count("*").alias("n"), F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y")).alias("r"))
-    return g.filter((F.col("n") >= least) & (F.col("r") >= threshold)).select("wallet", "other", "n", F.round("r", 4).alias("r"))
+def timing_correlation(a: DataFrame, b: DataFrame, seconds: int = 3600, least: int = 5, threshold: float = 0.8) -> DataFrame:
+    """Wallets of two venues whose activity histograms correlate over all bins between the first and last trade, empty ones included: (wallet, other, n, r).
+
+    Bins begin at the first trade; ``n`` counts those in which both were active. Zeros need no rows: the sums over shared
+    bins and each wallet's own sums give r, and without a shared bin r is below 0. Pairs that can't reach the threshold,
+    as their sum of products is at most the largest count of one times the sum of the other, are left out in the join.
+    """
+    times = lambda df: df.filter("ts is not null").select("wallet", F.unix_micros("ts").alias("us"))
+    width = seconds * SECOND
+    ends = times(a).unionByName(times(b)).agg(F.min("us").alias("lo"), F.max("us").alias("hi")).select("lo", F.ceil((F.col("hi") - F.col("lo")) / width).cast("bigint").alias("bins")).filter(F.col("bins") >= least)
+
+    def hist(df: DataFrame, name: str, x: str) -> DataFrame:
+        # The last bin is closed.
+        slot = F.least(F.floor((F.col("us") - F.col("lo")) / width).cast("bigint"), F.col("bins") - 1)
+        h = times(df).crossJoin(F.broadcast(ends)).groupBy(F.col("wallet").alias(name), "bins", slot.alias("bin")).agg(F.count("*").alias(x))
+        w = Window.partitionBy(name)
+        own = h.withColumns({f"s{x}": F.sum(x).over(w), f"m{x}": F.max(x).over(w), f"q{x}": F.sum(F.col(x) * F.col(x)).over(w)})
+        return own.withColumn(f"v{x}", F.col("bins") * F.col(f"q{x}") - F.col(f"s{x}") * F.col(f"s{x}")).drop(f"q{x}").filter(f"v{x} > 0")
+
+    j = hist(a, "wallet", "x").join(hist(b, "other", "y").drop("bins"), "bin").filter("wallet <> other")
+    r = lambda xy: (F.col("bins") * xy - F.col("sx") * F.col("sy")) / (F.sqrt("vx") * F.sqrt("vy"))
+    near = j.filter(r(F.least(F.col("mx") * F.col("sy"), F.col("my") * F.col("sx"))) >= threshold - 1e-9)
+    g = near.groupBy("wallet", "other", "bins", "sx", "sy", "vx", "vy").agg(F.count("*").alias("n"), F.sum(F.col("x") * F.col("y")).alias("xy"))
+    return g.select("wallet", "other", "n", r(F.col("xy")).alias("r")).filter(F.col("r") >= threshold).withColumn("r", F.round("r", 4))

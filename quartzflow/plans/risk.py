@@ -133,7 +133,7 @@ def metadata_as_of(spark, sf):
 )
 def timing_correlation_links(spark, sf):
     s = sides(spark, sf)
-    return joins.timing_correlation(s.filter("venue = 'amm'"), s.filter("venue = 'sdex'"), threshold=0.9)
+    return joins.timing_correlation(s.filter("venue = 'amm'"), s.filter("venue = 'sdex'"))
 
 
 @query(

@@ -5,8 +5,8 @@ from pathlib import Path
 
 import pytest
 
-from quartzflow.operators import wallets
-from quartzflow.plans.ledger import T
+from quartzflow.operators import joins, trades, wallets
+from quartzflow.plans.ledger import S, T
 
 from tests.test_features import TRADE, tr
 
@@ -15,6 +15,12 @@ WHOLE = {
     "normalised_totals": T
     + ", x as (select *, case when split_part(base_asset, ':', 1) = 'USDX' then amount::decimal(38,13) when split_part(counter_asset, ':', 1) = 'USDX' then (amount * price)::decimal(38,13) end as usd from t) select pair, count(*) as n, count(usd) as n_rated,"
     " count(*) filter (amount is null) as n_null, count(*) filter (amount is not null and usd is null) as n_unrated, round(sum(usd), 2)::decimal(38,2) as usd from x group by 1",
+    "timing_correlation_links": S
+    + ", e as (select min(epoch_us(ts)) as lo, ceil((max(epoch_us(ts)) - min(epoch_us(ts))) / 3600000000)::bigint as bins from s where venue in ('amm', 'sdex')),"
+    " h as (select wallet, venue, least((epoch_us(ts) - lo) // 3600000000, bins - 1) as b, count(*)::double as c from s, e where venue in ('amm', 'sdex') group by 1, 2, 3), o as (select wallet, venue, sum(c) as s1, sum(c * c) as s2 from h group by 1, 2),"
+    " j as (select x.wallet, y.wallet as other, count(*) as n, sum(x.c * y.c) as xy from h x join h y on x.b = y.b and x.wallet <> y.wallet where x.venue = 'amm' and y.venue = 'sdex' group by 1, 2),"
+    " r as (select j.wallet, j.other, n, (bins * xy - a.s1 * b.s1) / sqrt((bins * a.s2 - a.s1 * a.s1) * (bins * b.s2 - b.s1 * b.s1)) as r from j join o a on a.wallet = j.wallet and a.venue = 'amm' join o b on b.wallet = j.other and b.venue = 'sdex', e)"
+    " select wallet, other, n, round(r, 4) as r from r where r >= 0.8",
 }
 
 
@@ -40,3 +46,12 @@ def test_dollar_totals_keep_extreme_null_and_unrated_trades(spark):
     other = [(*r[:9], "R", r[10]) for r in rows]
     got = {r["pair"]: tuple(r)[1:] for r in wallets.dollar_totals(spark.createDataFrame(usd + priced + other, TRADE)).collect()}
     assert got == {"P": (4, 3, 1, 0, Decimal("10000000001.00")), "Q": (4, 2, 1, 1, Decimal("15000000002.50")), "R": (4, 0, 1, 3, None)}
+
+
+def test_timing_counts_empty_hours(spark):
+    # Two shared hours of 30, fewer than five; the third wallet trades every hour but those, the fourth in other hours of the same day.
+    at = {"a": ("amm", [0, 0, 9]), "b": ("sdex", [0, 0, 9]), "c": ("sdex", [*range(1, 9), *range(10, 30)]), "d": ("sdex", [1, 2, 10])}
+    rows = [tr(k, h * 3600, w, None, 1, venue=v) for w, (v, hours) in at.items() for k, h in enumerate(hours)]
+    s = trades.wallet_sides(spark.createDataFrame(rows, TRADE))
+    got = [tuple(r) for r in joins.timing_correlation(s.filter("venue = 'amm'"), s.filter("venue = 'sdex'")).collect()]
+    assert got == [("a", "b", 2, 1.0)]
