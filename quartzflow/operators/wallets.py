@@ -125,12 +125,17 @@ def pair_overlap(sides: DataFrame) -> DataFrame:
     return sides.select("wallet").distinct().join(g, "wallet", "left").select("wallet", F.round(F.coalesce("j", F.lit(0.0)), 6).alias("pair_overlap"))
 
 
-def pair_volume_correlation(sides: DataFrame, unit: str = "day") -> DataFrame:
-    """Correlation of a wallet's volumes on its first two pairs over the time units both have; null below two."""
+def _for_all(sides: DataFrame, g: DataFrame, name: str) -> DataFrame:
+    """A row for every wallet: units counted, and the correlation, 0 where units are too few or have no spread."""
+    return sides.select("wallet").distinct().join(g, "wallet", "left").select("wallet", F.coalesce("n", F.lit(0)).alias("n"), F.round(F.coalesce("c", F.lit(0.0)), 4).alias(name))
+
+
+def pair_volume_correlation(sides: DataFrame, unit: str = "minute") -> DataFrame:
+    """Correlation of a wallet's volumes on its first two pairs over the time units both have; 0 below two."""
     two = first_pairs(sides)
     v = sides.join(two, ["wallet", "pair"]).groupBy("wallet", F.date_trunc(unit, "ts").alias("m")).agg(*[F.sum(F.when(F.col("k") == k, _amount())).alias(f"v{k}") for k in (1, 2)])
     v = v.filter("v1 is not null and v2 is not null")
-    return v.groupBy("wallet").agg(F.count("*").alias("n"), _corr(_num("v1"), _num("v2")).alias("c")).filter("n >= 2").select("wallet", "n", F.round(F.col("c"), 4).alias("pair_corr"))
+    return _for_all(sides, v.groupBy("wallet").agg(F.count("*").alias("n"), _corr(_num("v1"), _num("v2")).alias("c")), "pair_corr")
 
 
 def venue_features(sides: DataFrame, first: str = "sdex", second: str = "amm") -> DataFrame:
@@ -153,11 +158,10 @@ def venue_features(sides: DataFrame, first: str = "sdex", second: str = "amm") -
     )
 
 
-def venue_volume_correlation(sides: DataFrame, unit: str = "day") -> DataFrame:
-    """Correlation of volumes on both venues over all units with a trade, missing ones 0; null below two or without spread."""
+def venue_volume_correlation(sides: DataFrame, unit: str = "hour") -> DataFrame:
+    """Correlation of volumes on both venues over all units with a trade, missing ones 0; 0 below two or without spread."""
     v = sides.groupBy("wallet", F.date_trunc(unit, "ts").alias("m")).agg(*[F.sum(F.when(F.col("venue") == k, _amount()).otherwise(0)).alias(k) for k in ("sdex", "amm")])
-    g = v.groupBy("wallet").agg(F.count("*").alias("n"), _corr(_num("sdex"), _num("amm")).alias("c"), F.max("amm").alias("x"), F.max("sdex").alias("y"))
-    return g.filter("n >= 2 and x > 0 and y > 0").select("wallet", "n", F.round(F.col("c"), 4).alias("venue_corr"))
+    return _for_all(sides, v.groupBy("wallet").agg(F.count("*").alias("n"), _corr(_num("sdex"), _num("amm")).alias("c")), "venue_corr")
 
 
 def pair_summary(trades: DataFrame) -> DataFrame:
@@ -167,10 +171,6 @@ def pair_summary(trades: DataFrame) -> DataFrame:
     return g.join(who, "pair", "left")
 
 
-def lifecycle(sides: DataFrame, created: DataFrame, now: Column) -> DataFrame:
-    """Age, first and last trade in days before ``now``, active days, and the last day against the 29 days before."""
-    day = 86_400_000_000
-    ago = F.floor((F.unix_micros(now) - F.unix_micros("ts")) / day)
 def dollar_totals(trades: DataFrame, dollar: str = "USDX") -> DataFrame:
     """Exact volume in dollars of each pair where one leg is the dollar; trades without an amount and without a rate are counted apart."""
     code = lambda c: F.split(c, ":")[0]
@@ -179,6 +179,10 @@ def dollar_totals(trades: DataFrame, dollar: str = "USDX") -> DataFrame:
     return g.agg(F.count("*").alias("n"), F.count("usd").alias("n_rated"), F.count_if(F.col("amount").isNull()).alias("n_null"), F.count_if(F.col("amount").isNotNull() & F.col("usd").isNull()).alias("n_unrated"), F.round(F.sum("usd"), 2).cast("decimal(38,2)").alias("usd"))
 
 
+def lifecycle(sides: DataFrame, created: DataFrame, now: Column) -> DataFrame:
+    """Age, first and last trade in days before ``now``, active days, and the last day against the 29 days before."""
+    day = 86_400_000_000
+    ago = F.floor((F.unix_micros(now) - F.unix_micros("ts")) / day)
     per = sides.groupBy("wallet", ago.alias("ago")).agg(F.count("*").alias("n"))
     g = per.groupBy("wallet").agg(F.max("ago").alias("first_ago"), F.min("ago").alias("last_ago"), F.count("*").alias("active_days"), F.sum(F.when(F.col("ago") == 0, F.col("n")).otherwise(0)).alias("today"), F.sum(F.when(F.col("ago").between(1, 29), F.col("n")).otherwise(0)).alias("before"))
     j = g.join(created, "wallet", "left")
@@ -222,13 +226,12 @@ def decimal_report(trades: DataFrame, by: str) -> DataFrame:
     return s.select(by, "n", F.col("total").cast("decimal(38,7)").alias("total"), F.round(_num("total") / F.col("n"), 6).alias("mean"), F.round(F.try_divide(_num("weighted"), _num("total")), 6).alias("weighted_price"))
 
 
-def cross_wallet_correlation(sides: DataFrame, unit: str = "day") -> DataFrame:
-    """Correlation of volumes with the two most frequent counterparties, missing units 0; ties by name."""
+def cross_wallet_correlation(sides: DataFrame, unit: str = "minute") -> DataFrame:
+    """Correlation of volumes with the two most frequent counterparties, missing units 0; ties by name; 0 below two units or without spread."""
     per = sides.filter("cp is not null").groupBy("wallet", "cp").agg(F.count("*").alias("n"))
     two = per.withColumn("k", F.row_number().over(Window.partitionBy("wallet").orderBy(F.desc("n"), "cp"))).filter("k <= 2").drop("n")
     v = sides.join(two, ["wallet", "cp"]).groupBy("wallet", F.date_trunc(unit, "ts").alias("m")).agg(*[F.sum(F.when(F.col("k") == k, _amount()).otherwise(0)).alias(f"v{k}") for k in (1, 2)])
-    g = v.groupBy("wallet").agg(F.count("*").alias("n"), _corr(_num("v1"), _num("v2")).alias("c"), F.max("v2").alias("x"))
-    return g.filter("n >= 2 and x > 0").select("wallet", "n", F.round(F.col("c"), 4).alias("cross_wallet_corr"))
+    return _for_all(sides, v.groupBy("wallet").agg(F.count("*").alias("n"), _corr(_num("v1"), _num("v2")).alias("c")), "cross_wallet_corr")
 
 
 def labels(sides: DataFrame, one: DataFrame, other: DataFrame) -> DataFrame:
