@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 SECOND = 1_000_000
+VALID = "^G[A-Z2-7]{55}$"
 
 
 def bucket(ts: Column, width_us: int) -> Column:
@@ -63,6 +64,36 @@ def co_trades(trades: DataFrame, window_us: int) -> DataFrame:
     return j.groupBy(F.col("wallet").alias("src"), F.col("other").alias("dst")).agg(F.count("*").alias("weight"), F.unix_micros(F.max(F.greatest("ts", "right_ts"))).alias("latest"))
 
 
+def weighted_co_trades(trades: DataFrame, window_us: int) -> DataFrame:
+    """Unordered pairs of valid wallets with the number of trades followed, within the window, by activity of both on the pair, and the latest such trade.
+
+    In a bucket as wide as the window a wallet leaves out only the trades after its last activity and before the time its
+    first activity of the next bucket reaches back to: one gap of ranks. A row for wallet, pair and bucket is joined, and
+    the trades that two wallets share follow from their gaps. Trades of one moment see each other.
+    """
+    t = trades.filter("pair is not null and ts is not null").select("pair", F.unix_micros("ts").alias("us"), "base", "counter").withColumn("b", F.floor(F.col("us") / window_us).cast("bigint"))
+    upto = Window.partitionBy("pair", "b").orderBy("us").rangeBetween(Window.unboundedPreceding, 0)
+    who = t.withColumn("p", F.count("*").over(upto)).select("pair", "b", "us", "p", F.explode(F.array_distinct(F.array_compact(F.array("base", "counter")))).alias("wallet")).filter(F.col("wallet").rlike(VALID))
+    own = who.groupBy("pair", "b", "wallet").agg(F.max("p").alias("p"), F.max("us").alias("hi"), F.min("us").alias("lo"))
+    none = F.lit(None).cast("bigint")
+    spans = own.select("pair", "b", "wallet", "p", "hi", none.alias("f")).unionByName(own.select("pair", (F.col("b") - 1).alias("b"), "wallet", none.alias("p"), none.alias("hi"), (F.col("lo") - window_us).alias("f")))
+    spans = spans.groupBy("pair", "b", "wallet").agg(F.coalesce(F.max("p"), F.lit(0)).alias("p"), F.max("hi").alias("hi"), F.max("f").alias("f"))
+    # Ranks of the times reached back to, counted among the trades of the bucket; without one, the gap lasts to its end.
+    events = t.select("pair", "b", "us", F.lit(1).alias("a"), F.lit(None).cast("string").alias("wallet"), none.alias("p"), none.alias("hi")).unionByName(spans.select("pair", "b", F.coalesce("f", (F.col("b") + 1) * window_us).alias("us"), F.lit(0).alias("a"), "wallet", "p", "hi"))
+    whole = Window.partitionBy("pair", "b")
+    g = events.withColumns({"q": F.coalesce(F.sum("a").over(whole.orderBy("us").rangeBetween(Window.unboundedPreceding, -1)), F.lit(0)), "m": F.sum("a").over(whole), "last": F.max(F.when(F.col("a") == 1, F.col("us"))).over(whole)})
+    g = g.filter("a = 0 and m > 0").select("pair", "b", "m", "last", F.col("wallet").alias("src"), "p", F.greatest("p", "q").alias("q"), "hi")
+    o = g.select("pair", "b", F.col("src").alias("dst"), F.col("p").alias("p2"), F.col("q").alias("q2"), F.col("hi").alias("hi2"))
+    j = g.join(o, ["pair", "b"]).filter("src < dst")
+    shared = F.greatest(F.lit(0), F.least("q", "q2") - F.greatest("p", "p2"))
+    j = j.withColumn("weight", F.col("m") - (F.col("q") - F.col("p")) - (F.col("q2") - F.col("p2")) + shared).filter("weight > 0")
+    # The last trade outside both gaps: the bucket's last, or the one before the gap it falls into, then before the other.
+    end1, end2 = (F.col("q") == F.col("m")) & (F.col("p") < F.col("q")), (F.col("q2") == F.col("m")) & (F.col("p2") < F.col("q2"))
+    into2, into1 = (F.col("p2") < F.col("p")) & (F.col("p") <= F.col("q2")), (F.col("p") < F.col("p2")) & (F.col("p2") <= F.col("q"))
+    latest = F.when(end1, F.when(into2, F.col("hi2")).otherwise(F.col("hi"))).when(end2, F.when(into1, F.col("hi")).otherwise(F.col("hi2"))).otherwise(F.col("last"))
+    return j.withColumn("latest", latest).groupBy("src", "dst").agg(F.sum("weight").alias("weight"), F.max("latest").alias("latest"))
+
+
 def coordination(trades: DataFrame, window_us: int) -> DataFrame:
     """Edges from the later to the earlier base account of trades on a pair and venue within the window."""
     a = trades.filter("base is not null").select("pair", "venue", "ts", "trade_id", F.col("base").alias("src"))

@@ -88,7 +88,7 @@ def venue_timing_sync(spark, sf):
     " select a.w as src, b.w as dst, count(*) as weight, epoch_us(max(greatest(a.ts, b.ts))) as latest from w a join w b on a.pair = b.pair and a.w < b.w and b.ts between a.ts - interval 5 minute and a.ts + interval 5 minute group by 1, 2"
 )
 def weighted_co_trade_edges(spark, sf):
-    return joins.co_trades(trades(spark, sf), 5 * MIN)
+    return joins.weighted_co_trades(trades(spark, sf), 24 * 60 * MIN)
 
 
 @query(

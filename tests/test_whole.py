@@ -1,6 +1,10 @@
 """Operators that once did less than the whole job, against brute force."""
 
+import datetime as dt
+import random
+from collections import defaultdict
 from decimal import Decimal
+from itertools import combinations
 from pathlib import Path
 
 import pytest
@@ -82,3 +86,16 @@ def test_volume_correlations_tell_apart_times_within_a_day(spark):
     for f in (wallets.pair_volume_correlation, wallets.venue_volume_correlation, wallets.cross_wallet_correlation):
         got = {r[0]: tuple(r)[1:] for r in f(s).collect()}
         assert got["a"] == (3, 1.0) and got["x"][1] == 0 and set(got) == {"a", "b", "c", "x"}, f.__name__
+
+
+def test_weighted_co_trades_count_anchors_within_a_day(spark):
+    rnd, w = random.Random(5), ["G" + c * 55 for c in "ABCDEF"] + ["bad", None]
+    rows = [tr(k, rnd.randrange(8 * 86400), rnd.choice(w), rnd.choice(w), 1, rnd.choice("PQ")) for k in range(60)]
+    want, day = defaultdict(lambda: [0, 0]), dt.timedelta(days=1)
+    for a in rows:
+        seen = {x for r in rows if r[9] == a[9] and a[1] <= r[1] <= a[1] + day for x in r[2:4] if x and len(x) == 56}
+        for pair in combinations(sorted(seen), 2):
+            us = int((a[1] - dt.datetime(1970, 1, 1)) / dt.timedelta(microseconds=1))
+            want[pair] = [want[pair][0] + 1, max(want[pair][1], us)]
+    got = joins.weighted_co_trades(spark.createDataFrame(rows, TRADE), 86_400_000_000).collect()
+    assert {(r["src"], r["dst"]): [r["weight"], r["latest"]] for r in got} == dict(want)
