@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 SECOND = 1_000_000
+DAY = 86_400 * SECOND
 VALID = "^G[A-Z2-7]{55}$"
 
 
@@ -118,20 +119,29 @@ def amount_links(left: DataFrame, right: DataFrame, window_us: int, tolerance: f
     return j.filter(near & (F.col("wallet") != F.col("other"))).groupBy("wallet", "other").agg(F.count("*").alias("n"))
 
 
-def as_of(left: DataFrame, right: DataFrame, key: str, value: str, ts: str = "ts", valid_us: int | None = None) -> DataFrame:
+def as_of(left: DataFrame, right: DataFrame, key: str, value: str, ts: str = "ts", valid_us: int | None = None, block_us: int = DAY) -> DataFrame:
     """``left`` with the last ``value`` of ``right`` at or before each time; null if none, or older than ``valid_us``.
 
-    One union ordered by time; the right row of a moment comes before the left ones.
+    A key's rows are ordered within blocks of time, so one key with most of the rows is the work of many tasks; the last
+    value before a block is carried into it as a row at its begin. ``right`` has one row for a key and time; rows
+    without either meet nothing. ``left`` is read twice.
     """
-    names = left.columns
-    cols = [c for c in names if c not in (key, ts)]
-    l = left.select(key, ts, *cols, F.lit(None).cast(right.schema[value].dataType).alias(value), F.lit(None).cast("timestamp").alias("__at"), F.lit(1).alias("__o"))
-    r = right.select(key, ts, *[F.lit(None).cast(left.schema[c].dataType).alias(c) for c in cols], F.col(value), F.col(ts).alias("__at"), F.lit(0).alias("__o"))
-    w = Window.partitionBy(key).orderBy(ts, "__o")
-    got = F.last(F.when(F.col("__o") == 0, F.struct(F.col(value).alias("v"), F.col("__at").alias("at"))), ignorenulls=True).over(w)
-    out = l.unionByName(r).withColumn("__got", got).filter("__o = 1")
-    fresh = F.lit(True) if valid_us is None else F.unix_micros(ts) - F.unix_micros("__got.at") <= valid_us
-    return out.select(*names, F.when(fresh, F.col("__got.v")).alias(value))
+    names, kind = left.columns, right.schema[value].dataType
+    block = F.coalesce(bucket(F.col(ts), block_us), F.lit(0))
+    # Rows that can't match are spread, as they have no block.
+    lone = F.col(key).isNull() | F.col(ts).isNull()
+    l = left.select(F.col(key).alias("__k"), F.unix_micros(ts).alias("__t"), F.when(lone, F.xxhash64(F.monotonically_increasing_id()) % 65_536).otherwise(block).alias("__b"), F.struct(*names).alias("__row"), F.lit(None).cast(kind).alias("__v"), F.lit(None).cast("bigint").alias("__at"), F.lit(2).alias("__o"))
+    r = right.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(F.col(key).alias("__k"), F.unix_micros(ts).alias("__t"), block.alias("__b"), F.lit(None).cast(left.select(F.struct(*names)).schema[0].dataType).alias("__row"), F.col(value).alias("__v"), F.unix_micros(ts).alias("__at"), F.lit(1).alias("__o"))
+    last = r.groupBy("__k", "__b").agg(F.max_by(F.struct("__v", "__at"), "__t").alias("x"))
+    wanted = left.filter(~lone).select(F.col(key).alias("__k"), block.alias("__b")).distinct().join(r.select("__k").distinct(), "__k", "left_semi").withColumn("x", F.lit(None).cast(last.schema["x"].dataType))
+    steps = wanted.unionByName(last).groupBy("__k", "__b").agg(F.max_by("x", F.col("x").isNotNull()).alias("x"))
+    before = F.last("x", ignorenulls=True).over(Window.partitionBy("__k").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))
+    carried = steps.withColumn("p", before).filter("p is not null").select("__k", (F.col("__b") * block_us).alias("__t"), "__b", F.lit(None).cast(r.schema["__row"].dataType).alias("__row"), F.col("p.__v").alias("__v"), F.col("p.__at").alias("__at"), F.lit(0).alias("__o"))
+    w = Window.partitionBy("__k", "__b").orderBy("__t", "__o")
+    got = F.last(F.when(F.col("__o") < 2, F.struct("__v", "__at")), ignorenulls=True).over(w)
+    out = l.unionByName(r).unionByName(carried).withColumn("__got", got).filter("__o = 2")
+    fresh = F.lit(True) if valid_us is None else F.col("__t") - F.col("__got.__at") <= valid_us
+    return out.select("__row.*", F.when(fresh, F.col("__got.__v")).alias(value))
 
 
 def timing_correlation(a: DataFrame, b: DataFrame, seconds: int = 3600, least: int = 5, threshold: float = 0.8) -> DataFrame:

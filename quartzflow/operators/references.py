@@ -1,8 +1,9 @@
 """References to records that do not exist (any more, or yet) at the time of the referring row.
 
-A Bloom filter of the parent keys, held as 256-bit blocks, is built by an aggregation and broadcast if its size, known
-before it is built, is within a bound. A reference that misses it is an orphan for certain. Only what passes is
-joined with the exact times of existence.
+A Bloom filter of the parent keys is built by an aggregation, packed into arrays of 64 blocks of 256 bits, and
+broadcast; its size has a fixed bound, beyond which it only lets more references through. A reference that misses it is
+an orphan for certain. Only what passes is joined with the exact times of existence: one row a key, so the join is
+linear; keys that come and go very often are searched by time in a second step.
 """
 
 from __future__ import annotations
@@ -11,48 +12,55 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quartzflow.operators.joins import as_of
 from quartzflow.session import written
 
 WORDS = 4  # of 64 bits in a block
+GROUP = 64  # blocks in a row of the filter
 BITS_PER_KEY = 16
-FILTER_MB = 64  # most that is broadcast; beyond it every reference takes the exact join
-SALTS = 8
+FILTER_MB = 64  # most that is broadcast; with more than 33 million keys there are fewer bits a key
+INLINE_SPANS = 16  # a key with more spans of existence is searched by time
+NEVER = "9999-12-31 23:59:59"
 
 
-def _masks(key: Column) -> list[Column]:
-    """One bit in each half of each word of a block: eight bits a key, taken from two hashes."""
+def _block(key: Column, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit(0)), F.lit(blocks))
+
+
+def _masks(key: Column, bits_a_word: int) -> list[Column]:
+    """One or two bits in each word of a block, taken from two hashes."""
     h, g = F.xxhash64(key, F.lit(1)), F.xxhash64(key, F.lit(2))
     one = F.lit(1).cast("bigint")
-    masks = []
-    for k in range(WORDS):
-        a = F.shiftrightunsigned(h, 6 * k).bitwiseAND(F.lit(63)).cast("int")
-        b = F.shiftrightunsigned(g, 6 * k).bitwiseAND(F.lit(63)).cast("int")
-        masks.append(F.call_function("shiftleft", one, a).bitwiseOR(F.call_function("shiftleft", one, b)))
-    return masks
+    bit = lambda x, k: F.call_function("shiftleft", one, F.shiftrightunsigned(x, 6 * k).bitwiseAND(F.lit(63)).cast("int"))
+    return [bit(h, k).bitwiseOR(bit(g, k)) if bits_a_word == 2 else bit(h, k) for k in range(WORDS)]
 
 
-def bloom_blocks(keys: DataFrame, key: str, n_keys: int) -> tuple[DataFrame, int]:
-    """(block, __w0..__w3) of the keys, and the number of blocks."""
-    blocks = max(1, n_keys * BITS_PER_KEY // (64 * WORDS))
-    cols = [F.pmod(F.xxhash64(F.col(key), F.lit(0)), F.lit(blocks)).alias("block"), *[m.alias(f"m{k}") for k, m in enumerate(_masks(F.col(key)))]]
-    built = keys.select(*cols).groupBy("block").agg(*[F.bit_or(f"m{k}").alias(f"__w{k}") for k in range(WORDS)])
-    return built, blocks
+def filter_blocks(n_keys: int) -> tuple[int, int]:
+    """Blocks of the filter for so many keys, and bits set in each word: fewer where the bound leaves under 8 bits a key."""
+    most = max(1, FILTER_MB * 2**20 // (WORDS * 8 + 2))  # a row's array and overhead, spread over its blocks
+    blocks = min(max(1, n_keys * BITS_PER_KEY // (64 * WORDS)), most)
+    return blocks, 2 if blocks * 64 * WORDS >= 8 * n_keys else 1
 
 
-def filter_bytes(n_keys: int) -> int:
-    """Upper bound of the broadcast relation: a row of a block takes under 128 bytes in the hash map."""
-    return max(1, n_keys * BITS_PER_KEY // (64 * WORDS)) * 128
+def bloom_rows(keys: DataFrame, key: str, blocks: int, bits_a_word: int) -> DataFrame:
+    """(__g, __words): the filter, GROUP blocks a row."""
+    cols = [_block(F.col(key), blocks).alias("b"), *[m.alias(f"m{k}") for k, m in enumerate(_masks(F.col(key), bits_a_word))]]
+    per = keys.select(*cols).groupBy("b").agg(*[F.bit_or(f"m{k}").alias(f"w{k}") for k in range(WORDS)])
+    words = F.array(*[f"w{k}" for k in range(WORDS)])
+    rows = per.groupBy(F.floor(F.col("b") / GROUP).cast("bigint").alias("__g")).agg(F.map_from_entries(F.collect_list(F.struct((F.col("b") % GROUP).cast("int"), words))).alias("m"))  # at most GROUP
+    none = F.array(*[F.lit(0).cast("bigint")] * WORDS)
+    return rows.select("__g", F.flatten(F.transform(F.sequence(F.lit(0), F.lit(GROUP - 1)), lambda i: F.coalesce(F.try_element_at("m", i), none))).alias("__words"))
 
 
-def maybe_present(refs: DataFrame, key: str, blocks: DataFrame, n_blocks: int) -> DataFrame:
+def maybe_present(refs: DataFrame, key: str, rows: DataFrame, blocks: int, bits_a_word: int) -> DataFrame:
     """``refs`` with a column __maybe: false where the key is certainly not among the parents."""
-    masks = _masks(F.col(key))
-    small = F.broadcast(blocks.withColumnRenamed("block", "__block"))
-    joined = refs.join(small, F.pmod(F.xxhash64(F.col(key), F.lit(0)), F.lit(n_blocks)) == F.col("__block"), "left")
+    block = _block(F.col(key), blocks)
+    joined = refs.join(F.broadcast(rows), F.floor(block / GROUP).cast("bigint") == F.col("__g"), "left")  # at most FILTER_MB
+    at = (block % GROUP).cast("int") * WORDS
     hit = F.lit(True)
-    for k in range(WORDS):
-        hit = hit & (F.col(f"__w{k}").bitwiseAND(masks[k]) == masks[k])
-    return joined.withColumn("__maybe", F.coalesce(hit, F.lit(False))).drop("__block", *[f"__w{k}" for k in range(WORDS)])
+    for k, m in enumerate(_masks(F.col(key), bits_a_word)):
+        hit = hit & (F.get("__words", at + k).bitwiseAND(m) == m)
+    return joined.withColumn("__maybe", F.coalesce(hit, F.lit(False))).drop("__g", "__words")
 
 
 def lifetimes(parents: DataFrame, changes: DataFrame) -> DataFrame:
@@ -89,28 +97,35 @@ def orphans(refs: DataFrame, key: str, time: str, spans: DataFrame) -> DataFrame
     Null and empty keys must have been made null; they are no references and never come out. A null time is judged at
     the end of all time. Columns of ``refs`` stay as they are; repeated references come out repeatedly. With empty
     ``spans`` every reference is an orphan.
+
+    ``refs`` is evaluated once. Spark broadcasts the keys' states if their file is under its threshold, else both sides
+    are shuffled and AQE splits a key with very many references; what misses the filter has a join key of its own, so
+    it neither meets anything nor gathers in one task.
     """
-    spans = written(spans, "lifetimes")
-    n_keys = spans.count()  # at least the number of keys; from the footers
-    refs = refs.filter(F.col(key).isNotNull())
     names = refs.columns
-    if filter_bytes(n_keys) <= FILTER_MB * 2**20:
-        blocks, n_blocks = bloom_blocks(spans.select("key"), "key", n_keys)
-        refs = maybe_present(refs, key, blocks, n_blocks)
-    else:
-        refs = refs.withColumn("__maybe", F.lit(True))
-    # Both sides are salted, so that a key with a third of all references is spread over SALTS tasks.
-    salted = refs.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in _hashable(refs)]), F.lit(SALTS)).cast("int"))
-    sure = salted.filter(~F.col("__maybe")).select(*names)
-    right = spans.select(F.col("key").alias("__key"), F.col("since").alias("__since"), F.col("until").alias("__until"), F.explode(F.array(*[F.lit(k) for k in range(SALTS)])).alias("__right_salt"))
-    t = F.coalesce(F.col(time), F.lit("9999-12-31 23:59:59").cast("timestamp"))
-    on = (F.col(key) == F.col("__key")) & (F.col("__salt") == F.col("__right_salt")) & (F.col("__since") <= t) & (F.col("__until").isNull() | (t < F.col("__until")))
-    checked = salted.filter(F.col("__maybe")).join(right.hint("merge"), on, "left_anti").select(*names)
-    return sure.unionByName(checked)
+    spans = written(spans, "lifetimes")
+    many = spans.groupBy("key").agg(F.count("*").alias("n"))
+    few = spans.join(many.filter(F.col("n") <= INLINE_SPANS), "key").groupBy("key").agg(F.collect_list(F.struct("since", "until")).alias("__spans"))  # at most INLINE_SPANS
+    busy = written(many.filter(F.col("n") > INLINE_SPANS).select("key"), "busy")
+    states = written(few.unionByName(busy.withColumn("__spans", F.lit(None).cast(few.schema["__spans"].dataType))), "states").withColumnRenamed("key", "__key")
+    blocks, bits = filter_blocks(states.count())  # from the footers
+    seen = maybe_present(refs.filter(F.col(key).isNotNull()), key, bloom_rows(states, "__key", blocks, bits), blocks, bits)
+    own = F.concat(F.lit("\0"), F.xxhash64(*[F.col(c) for c in _hashable(refs)]).cast("string"))
+    t = F.coalesce(F.col(time), F.lit(NEVER).cast("timestamp"))
+    joined = seen.withColumn("__on", F.when(F.col("__maybe"), F.col(key)).otherwise(own)).join(states, F.col("__on") == F.col("__key"), "left")
+    alive = F.exists("__spans", lambda x: (x["since"] <= t) & (x["until"].isNull() | (t < x["until"])))
+    left = joined.withColumn("__open", F.col("__key").isNotNull() & F.col("__spans").isNull()).filter(F.col("__open") | ~F.coalesce(alive, F.lit(False))).select(*names, "__open")
+    if busy.isEmpty():
+        return left.select(*names)
+    left = written(left, "undecided")
+    at = "__at"
+    found = as_of(left.filter("__open").withColumn(at, t), spans.join(busy, "key", "left_semi").select(F.col("key").alias(key), F.col("since").alias(at), F.struct("until").alias("__got")), key, "__got", ts=at)
+    gone = found.filter(F.col("__got").isNull() | (F.col(at) >= F.col("__got.until")))
+    return left.filter("not __open").select(*names).unionByName(gone.select(*names))
 
 
 def _hashable(df: DataFrame) -> list[str]:
-    return [c for c, kind in df.dtypes if not kind.startswith("map") and c != "__maybe"]
+    return [c for c, kind in df.dtypes if "map<" not in kind and kind != "variant"]
 
 
 def orphan_report(found: DataFrame, by: list[str], time: str) -> DataFrame:

@@ -1,4 +1,7 @@
 import random
+import shutil
+
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -49,3 +52,12 @@ def test_more_rows_than_a_vector(spark, tmp_path):
     d = delivery.one_copy_each(spark, str(tmp_path / "big"), trade_id("trade_id"), "delivery_id")
     r = d.removed.agg(F.count("*"), F.min("delivery_id"), F.max("delivery_id")).head()
     assert tuple(r) == (20_000, 50_000, 69_999)
+
+
+def test_a_lost_vector_is_an_error_and_deletes_nothing(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(delivery, "scratch_path", lambda s, n: f"file://{tmp_path}/{n}")
+    d = run(spark, [("a", 1, "x"), ("a", 2, "y"), ("b", 3, "z")], tmp_path / "t")
+    for p in (tmp_path / "vectors").glob("shard=*"):
+        shutil.rmtree(p)
+    with pytest.raises(Exception, match="is missing"):
+        d.kept.collect()
