@@ -18,26 +18,29 @@ WINDOWS = (7, 30)
 
 def campaign_records(spark: SparkSession, sf: str) -> DataFrame:
     """Every raw record with its fields, typed values and the list of what is wrong with it (empty: good)."""
-    split = rejects.parse_records(table(spark, sf, "known_event_lines"), "line_id", "file_name", "line", CAMPAIGN_FIELDS)
-    start = rejects.iso_instant(F.col("campaign_start"))
-    checks = {
+    typed = {"campaign_start": "timestamp", "label_confidence": "int"}
+    split = rejects.parse_records(table(spark, sf, "known_event_lines"), "line_id", "file_name", "line", CAMPAIGN_FIELDS, typed)
+    # The reader takes other forms of times and numbers too; the form is checked on what it accepts.
+    form = {
         "wallet": F.col("wallet").rlike("^G[A-Z2-7]{55}$") & ~F.col("wallet").contains("\n"),
-        "campaign_start": start.isNotNull(),
+        "campaign_start": rejects.iso_instant(F.col("campaign_start")).isNotNull(),
         "label_confidence": F.col("label_confidence").isin("1", "2", "3"),
     }
-    wrong = F.array_compact(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in checks.items()]))
+    wrong = F.array_compact(F.array(*[F.when(F.array_contains("refused", name) | ~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in form.items()]))
     return split.select(
         "line_id",
         "file_name",
         "line",
         "reason",
+        "judged",
+        "refused",
         F.when(F.col("reason").isNotNull(), F.array(F.lit("line"))).otherwise(wrong).alias("failed"),
         "wallet",
         "asset_pair",
-        start.alias("campaign_start"),
+        F.col("campaign_start_value").alias("campaign_start"),
         rejects.iso_instant(F.col("campaign_end")).alias("campaign_end"),
         "label_source",
-        F.col("label_confidence").try_cast("int").alias("label_confidence"),
+        F.col("label_confidence_value").alias("label_confidence"),
         "description",
     )
 
@@ -48,12 +51,17 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
 
 def p1_loaded(spark: SparkSession, sf: str) -> DataFrame:
     """The valid records, typed."""
-    return campaign_records(spark, sf).filter(F.size("failed") == 0).drop("line", "reason", "failed")
+    return campaign_records(spark, sf).filter(F.size("failed") == 0).drop("line", "reason", "judged", "refused", "failed")
 
 
 def p1_rejected(spark: SparkSession, sf: str) -> DataFrame:
-    """The other records, raw, each with its reasons."""
-    return campaign_records(spark, sf).filter(F.size("failed") > 0).select("line_id", "file_name", "line", F.coalesce("reason", F.lit("value")).alias("reason"), F.array_join("failed", ",").alias("fields"))
+    """The other records, raw, each with the fields that fail."""
+    return campaign_records(spark, sf).filter(F.size("failed") > 0).select("line_id", "file_name", "line", F.array_join("failed", ",").alias("fields"))
+
+
+def p1_judged(spark: SparkSession, sf: str) -> DataFrame:
+    """Records by who judged their split (the reader, the rule over the reader, the rule alone), reason and refused columns."""
+    return campaign_records(spark, sf).groupBy("judged", "reason", F.array_join(F.array_sort("refused"), ",").alias("refused")).agg(F.count("*").alias("n"))
 
 
 # ---- 2: messages delivered more than once ---------------------------------------------------------------------------
@@ -158,7 +166,7 @@ def p4_report(spark: SparkSession, sf: str) -> DataFrame:
     return references.orphan_report(orphan_references(spark, sf), ["src_table", "ref_field"], "at")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_loaded, p1_rejected, p2_found, p2_kept, p3_found, p3_rolling, p4_found, p4_report)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_loaded, p1_rejected, p1_judged, p2_found, p2_kept, p3_found, p3_rolling, p4_found, p4_report)}
 
 # ---- SQL ------------------------------------------------------------------------------------------------------------
 
@@ -215,6 +223,9 @@ SQL = {
     + ") at time zone 'UTC' as campaign_start, ("
     + _INSTANT.format("campaign_end_")
     + ") at time zone 'UTC' as campaign_end, label_source_ as label_source, cast(label_confidence_ as int) as label_confidence, description_ as description from r where split and ok_wallet and ok_start and ok_conf",
+    "p1_rejected": _P1
+    + " select line_id, file_name, line, case when not split then 'line' else concat_ws(',', case when not ok_wallet then 'wallet' end, case when not ok_start then 'campaign_start' end, case when not ok_conf then 'label_confidence' end) end as fields"
+    " from r where not (split and ok_wallet and ok_start and ok_conf)",
     "p2_found": _KEPT + " select delivery_id from d where rn > 1 and coalesce(k, '') <> ''",
     "p2_kept": _KEPT
     + f" select delivery_id, nullif(k, '') as trade_id, ledger_close_time, {_ACC.format('base_account')} as base_account, {_ACC.format('counter_account')} as counter_account, base_amount, counter_amount, asset_pair from kept",
