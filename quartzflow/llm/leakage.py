@@ -3,7 +3,9 @@
 A task turns its documents, shard by shard, into a sequence of word numbers, sorts its suffixes, and keeps the
 Burrows-Wheeler transform as a wavelet matrix of packed bits with sampled suffix positions. All runs of ``words``
 consecutive words of the test items are searched backwards at once; their occurrences are located by walking to
-sampled positions, and overlapping ones of an item in a document are merged into spans to remove.
+sampled positions, and overlapping ones of an item in a document are merged into spans to remove. The items are written
+to the shared folder and read by the tasks in blocks bounded by their bytes; a shard is indexed once and searched for
+every block.
 """
 
 from __future__ import annotations
@@ -18,12 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quartzflow.llm.texts import spread
+from quartzflow.session import scratch_path
 
 WORDS = 10
 SHARD_WORDS = 400_000
 SAMPLE = 16
-ITEMS_AT_ONCE = 20_000  # test items sent to the workers at a time; more are searched in blocks
+ITEM_BYTES = 8_000_000  # of test items in a block; a longer item makes a block of its own
 _WORD = re.compile(r"[^\W_]+")
+_ASCII_AND_MORE = re.compile(r"[\x00-\x7f][^\x00-\x7f]*|[^\x00-\x7f]+")
 
 
 def words_of(text: str) -> list[str]:
@@ -44,7 +48,13 @@ def word_places(text: str) -> list[tuple[int, int]]:
         origin += [m.span()] * len(plain)
     joined = "".join(parts)
     if joined != unicodedata.normalize("NFKC", text).casefold():
-        return [(0, len(text))] * len(words_of(text))  # it composes across clusters: take the whole text
+        # It composes across clusters. Nothing composes with a sign of ASCII before it, so the text is cut before those.
+        parts, origin = [], []
+        for m in _ASCII_AND_MORE.finditer(text):
+            plain = unicodedata.normalize("NFKC", m[0]).casefold()
+            parts.append(plain)
+            origin += [m.span()] * len(plain)
+        joined = "".join(parts)
     return [(origin[m.start()][0], origin[m.end() - 1][1]) for m in _WORD.finditer(joined)]
 
 
@@ -181,14 +191,56 @@ class FMIndex:
         return out
 
 
-def phrases_of(items: list[tuple[int, str]], words: int) -> tuple[list[tuple[str, ...]], list[list[int]]]:
-    """Distinct runs of ``words`` words, and the items that have each."""
-    owners: dict[tuple[str, ...], dict[int, None]] = {}
-    for item, text in items:
-        w = words_of(text)
-        for j in range(len(w) - words + 1):
-            owners.setdefault(tuple(w[j : j + words]), {})[item] = None
-    return list(owners), [list(o) for o in owners.values()]
+class Phrases:
+    """All distinct runs of ``words`` words of some items, as numbers of their own vocabulary, and who has each."""
+
+    def __init__(self, items: list[tuple[object, str]], words: int):
+        number: dict[str, int] = {}
+        runs, owners = [np.zeros((0, words), np.int64)], [np.zeros(0, np.int64)]
+        for k, (_, text) in enumerate(items):
+            w = np.array([number.setdefault(x, len(number)) for x in words_of(text)], np.int64)
+            if len(w) >= words:
+                runs.append(np.lib.stride_tricks.sliding_window_view(w, words))
+                owners.append(np.full(len(w) - words + 1, k))
+        self.vocabulary, self.items = list(number), [i for i, _ in items]
+        self.runs, which = np.unique(np.concatenate(runs), axis=0, return_inverse=True)
+        pairs = np.unique(np.stack([which.ravel(), np.concatenate(owners)], axis=1), axis=0)
+        self.starts = np.searchsorted(pairs[:, 0], np.arange(len(self.runs) + 1))
+        self.owners = pairs[:, 1]
+
+    def symbols(self, vocabulary: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+        """Runs whose words are all in a shard, by position, and their symbols there."""
+        there = np.array([vocabulary.get(w, 0) for w in self.vocabulary], np.int64)
+        at = np.flatnonzero((there[self.runs] > 0).all(axis=1)) if len(self.runs) else np.zeros(0, np.int64)
+        return at, there[self.runs[at]] if len(at) else np.zeros((0, self.runs.shape[1]), np.int64)
+
+
+_LAST: dict[str, Phrases] = {}  # the block of the last table of items that is a single one
+
+
+def item_blocks(path: str, words: int, most: int) -> Iterator[Phrases]:
+    """The written items, read in blocks of at most ``most`` bytes of text."""
+    if (key := f"{path} {words} {most}") in _LAST:
+        yield _LAST[key]
+        return
+    import pyarrow.dataset as ds
+    import pyarrow.fs as pafs
+
+    fs, root = pafs.FileSystem.from_uri(path)
+    part, size, blocks = [], 0, 0
+    for b in ds.dataset(root, filesystem=fs, format="parquet").to_batches(batch_size=256):
+        for i, t in zip(b.column("item").to_pylist(), b.column("text").to_pylist()):
+            if part and size + len(t) > most:
+                yield Phrases(part, words)
+                part, size, blocks = [], 0, blocks + 1
+            part.append((i, t))
+            size += len(t)
+    if part:
+        made = Phrases(part, words)
+        if not blocks:
+            _LAST.clear()
+            _LAST[key] = made
+        yield made
 
 
 def merged(begins: np.ndarray, words: int) -> list[tuple[int, int]]:
@@ -202,32 +254,24 @@ def leaked_spans(corpus: DataFrame, doc: str, text: str, items: DataFrame, item:
 
     Result: doc, item, word_from, word_to, char_from, char_to (ends exclusive; characters of the text as it stands).
     Adjoining and overlapping matches of an item are one span. Null and empty texts, and items of fewer words, match
-    nothing. Repeated documents and items each count. Items are searched in blocks of ITEMS_AT_ONCE.
+    nothing. Repeated documents and items each count. Places are exact but in texts that compose across grapheme
+    clusters, where a span may reach to the next sign of ASCII.
     """
-    spark = corpus.sparkSession
     doc_kind, item_kind = corpus.schema[doc].dataType.simpleString(), items.schema[item].dataType.simpleString()
     schema = f"doc {doc_kind}, item {item_kind}, word_from bigint, word_to bigint, char_from bigint, char_to bigint"
     src = spread(corpus.select(F.col(doc).alias("doc"), F.col(text).alias("text")).filter("length(text) > 0"))
 
-    def block(part: list[tuple[int, str]]) -> DataFrame:
-        sent = spark.sparkContext.broadcast(phrases_of(part, words))
+    path, most = scratch_path(corpus.sparkSession, "items"), ITEM_BYTES
+    items.select(F.col(item).alias("item"), F.col(item_text).alias("text")).filter("item is not null and text is not null").write.parquet(path)
+    schema_arrow = pa.schema([("doc", _arrow(doc_kind)), ("item", _arrow(item_kind)), *[(c, pa.int64()) for c in ("word_from", "word_to", "char_from", "char_to")]])
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            phrases, owners = sent.value
-            for ids, texts, docs in _shards(batches, shard_words):
-                yield _search_shard(ids, texts, docs, phrases, owners, words, schema_arrow)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, texts, docs in _shards(batches, shard_words):
+            index = FMIndex(docs)
+            for phrases in item_blocks(path, words, most):
+                yield _search_shard(index, ids, texts, phrases, words, schema_arrow)
 
-        schema_arrow = pa.schema([("doc", _arrow(doc_kind)), ("item", _arrow(item_kind)), *[(c, pa.int64()) for c in ("word_from", "word_to", "char_from", "char_to")]])
-        return src.mapInArrow(run, schema)
-
-    out, part = None, []
-    for r in items.select(F.col(item), F.col(item_text)).filter(F.col(item_text).isNotNull() & F.col(item).isNotNull()).toLocalIterator():
-        part.append((r[0], r[1]))
-        if len(part) == ITEMS_AT_ONCE:
-            out, part = block(part) if out is None else out.unionByName(block(part)), []
-    if part or out is None:
-        out = block(part) if out is None else out.unionByName(block(part))
-    return out
+    return src.mapInArrow(run, schema)
 
 
 def _arrow(kind: str) -> pa.DataType:
@@ -250,21 +294,19 @@ def _shards(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[list
         yield ids, texts, docs
 
 
-def _search_shard(ids: list, texts: list[str], docs: list[list[str]], phrases: list[tuple[str, ...]], owners: list[list[int]], words: int, schema: pa.Schema) -> pa.RecordBatch:
-    index = FMIndex(docs)
-    get = index.vocabulary.get
-    symbols = np.array([[get(w, 0) for w in p] for p in phrases], np.int64).reshape(len(phrases), words)
+def _search_shard(index: FMIndex, ids: list, texts: list[str], phrases: Phrases, words: int, schema: pa.Schema) -> pa.RecordBatch:
+    run, symbols = phrases.symbols(index.vocabulary)
     which, lo, hi = index.search(symbols)
     sizes = hi - lo
     total = int(sizes.sum())
     rows = np.repeat(lo - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(total) if total else np.zeros(0, np.int64)
     at = index.locate(rows)
-    phrase = np.repeat(which, sizes)
+    phrase = np.repeat(run[which], sizes)
     d = np.searchsorted(index.starts, at, side="right") - 1
     begin = at - index.starts[d]
     found: dict[tuple[int, int], list[int]] = {}
     for k, j, b in zip(phrase.tolist(), d.tolist(), begin.tolist()):
-        for o in owners[k]:
+        for o in phrases.owners[phrases.starts[k] : phrases.starts[k + 1]].tolist():
             found.setdefault((j, o), []).append(b)
     cols: list[list] = [[], [], [], [], [], []]
     places: dict[int, list[tuple[int, int]]] = {}
@@ -272,6 +314,6 @@ def _search_shard(ids: list, texts: list[str], docs: list[list[str]], phrases: l
         if j not in places:
             places = {j: word_places(texts[j])}
         for a, b in merged(np.unique(begins), words):
-            for c, v in zip(cols, (ids[j], o, a, b, places[j][a][0], places[j][b - 1][1])):
+            for c, v in zip(cols, (ids[j], phrases.items[o], a, b, places[j][a][0], places[j][b - 1][1])):
                 c.append(v)
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)

@@ -56,6 +56,16 @@ def p6_contents(spark: SparkSession, sf: str) -> DataFrame:
     return _packed(spark, sf)
 
 
+def p6_packed(spark: SparkSession, sf: str) -> DataFrame:
+    """Invariants of the packing: documents and tokens packed, texts split that fit, containers that hold too much."""
+    k = table(spark, sf, "containers")
+    p = _packed(spark, sf).join(F.broadcast(k), "container")  # a row a kind, KINDS_AT_MOST
+    docs = p.groupBy("container", "item", "capacity_tokens").agg(F.sum("size").alias("size"), F.max("parts").alias("parts"))
+    per = docs.groupBy("container").agg(F.count("*").alias("n_docs"), F.sum("size").alias("tokens"), F.count_if((F.col("parts") > 1) & (F.col("size") <= F.col("capacity_tokens"))).alias("n_split_wrongly"))
+    over = p.groupBy("container", "bin", "capacity_tokens").agg(F.sum("size").alias("used")).groupBy("container").agg(F.count_if(F.col("used") > F.col("capacity_tokens")).alias("n_overfull"))
+    return per.join(over, "container")
+
+
 def p6_fill(spark: SparkSession, sf: str) -> DataFrame:
     """How full the containers are."""
     return packing.fill_report(_packed(spark, sf), table(spark, sf, "containers"))
@@ -89,7 +99,7 @@ def p8_redacted(spark: SparkSession, sf: str) -> DataFrame:
     return pii.redacted(table(spark, sf, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_consensus, p5_annotators, p5_agreement, p6_found, p6_contents, p6_fill, p7_found, p7_spans, p8_found, p8_redacted)}
+QUERIES = {f.__name__: f for f in (p5_found, p5_consensus, p5_annotators, p5_agreement, p6_found, p6_contents, p6_packed, p6_fill, p7_found, p7_spans, p8_found, p8_redacted)}
 
 SQL = {
     "p5_agreement": (
@@ -99,5 +109,6 @@ SQL = {
         " t as (select count(*) as n_items, sum(m) as n, sum(same / (m - 1)) as o from i), e as (select sum(s * (s - 1)) as e from (select label, sum(c) as s from c where item in (select item from i) group by 1))"
         " select n_items, cast(n as bigint) as n_verdicts, round(o / n, 9) as observed, round(e / (n * (n - 1)), 9) as expected, round((o / n - e / (n * (n - 1))) / (1 - e / (n * (n - 1))), 9) as alpha from t, e"
     ),
+    "p6_packed": "select container, count(*) as n_docs, cast(sum(strlen(text) + 1) as bigint) as tokens, cast(0 as bigint) as n_split_wrongly, cast(0 as bigint) as n_overfull from documents, containers where text is not null and capacity_tokens >= 1 group by 1",
     "p6_found": "select container, doc_id from documents, containers where strlen(text) + 1 > capacity_tokens",
 }

@@ -31,7 +31,7 @@ def test_suffix_order():
 
 def test_words():
     assert leakage.words_of("Straße ＡＢＣ ﬁn_x1, É é—2½") == ["strasse", "abc", "fin", "x1", "é", "é", "21", "2"]
-    for t in ["plain ASCII text, 12", "Straße ＡＢＣ ﬁn é é x", "각 한글"]:
+    for t in ["plain ASCII text, 12", "Straße ＡＢＣ ﬁn é é x", "각 한글", "a b \u1100\u1161\u11a8\u0f71\u0f72 c \u0f71\u0f72\u0f71 d"]:
         w, p = leakage.words_of(t), leakage.word_places(t)
         assert len(w) == len(p) and all(leakage.words_of(t[a:b])[0].startswith(x[:1]) for x, (a, b) in zip(w, p))
 
@@ -74,5 +74,5 @@ def test_empty_tables_and_blocks(spark, monkeypatch):
     i = spark.createDataFrame([(k, "A, b c d e f g h i j") for k in range(5)], "item_id bigint, text string")
     assert leakage.leaked_spans(d.limit(0), "doc_id", "text", i, "item_id", "text").count() == 0
     assert leakage.leaked_spans(d, "doc_id", "text", i.limit(0), "item_id", "text").count() == 0
-    monkeypatch.setattr(leakage, "ITEMS_AT_ONCE", 2)
+    monkeypatch.setattr(leakage, "ITEM_BYTES", 40)
     assert leakage.leaked_spans(d, "doc_id", "text", i, "item_id", "text").count() == 5
