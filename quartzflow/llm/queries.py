@@ -60,7 +60,7 @@ def p6_packed(spark: SparkSession, sf: str) -> DataFrame:
     """Invariants of the packing: documents and tokens packed, texts split that fit, containers that hold too much."""
     k = table(spark, sf, "containers")
     p = _packed(spark, sf).join(F.broadcast(k), "container")  # a row a kind, KINDS_AT_MOST
-    docs = p.groupBy("container", "item", "capacity_tokens").agg(F.sum("size").alias("size"), F.max("parts").alias("parts"))
+    docs = p.groupBy("container", "doc_id", "capacity_tokens").agg(F.sum("size").alias("size"), F.max("parts").alias("parts"))
     per = docs.groupBy("container").agg(F.count("*").alias("n_docs"), F.sum("size").alias("tokens"), F.count_if((F.col("parts") > 1) & (F.col("size") <= F.col("capacity_tokens"))).alias("n_split_wrongly"))
     over = p.groupBy("container", "bin", "capacity_tokens").agg(F.sum("size").alias("used")).groupBy("container").agg(F.count_if(F.col("used") > F.col("capacity_tokens")).alias("n_overfull"))
     return per.join(over, "container")
