@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -29,8 +30,15 @@ def quantize(c: Column, places: int = 7) -> Column:
     return F.bround(c, places)
 
 
-def pseudonym(c: Column, key: str = "") -> Column:
-    return F.concat(F.lit("anon_"), F.substring(F.sha2(F.concat(F.lit(key), c), 256), 1, 32))
+def pseudonym(c: Column, key: bytes) -> Column:
+    """``anon_`` and 32 hex digits of the HMAC-SHA256 of the value, which no one without the key can enumerate."""
+    if not key:
+        raise ValueError("a pseudonym needs a key")
+    if len(key) > 64:
+        key = hashlib.sha256(key).digest()
+    inner, outer = (bytearray(x ^ y for x in key.ljust(64, b"\0")) for y in (0x36, 0x5C))
+    first = F.unhex(F.sha2(F.concat(F.lit(inner), F.encode(c, "UTF-8")), 256))
+    return F.concat(F.lit("anon_"), F.substring(F.sha2(F.concat(F.lit(outer), first), 256), 1, 32))
 
 
 def masked(c: Column, shown: int = 4) -> Column:

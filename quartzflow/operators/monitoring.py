@@ -49,7 +49,7 @@ def psi(expected: DataFrame, actual: DataFrame, by: str, edges: Sequence[float],
 
     j = shares(expected, "e").join(shares(actual, "o"), by)
     terms = sum(((F.col(f"o{k}") - F.col(f"e{k}")) * F.ln(F.col(f"o{k}") / F.col(f"e{k}")) for k in range(bins)), F.lit(0.0))
-    return j.select(by, F.round(terms, 6).alias("psi"), (terms > 0.25).alias("drifted"))
+    return j.select(by, F.round(terms, 6).alias("psi"), (terms >= 0.25).alias("drifted"))
 
 
 def baseline_drift(series: DataFrame, by: str, order: str, value: str, least: int = 10, z: float = 3.0) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import secrets
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,8 +39,13 @@ def reservoir(df: DataFrame, key: str, k: int, seed: int = 42) -> DataFrame:
     return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(k)
 
 
-def private_counts(df: DataFrame, by: str, epsilon: float, seed: int = 42) -> DataFrame:
-    """Counts with Laplace noise of scale 1 / epsilon by inverse distribution, cut at 0; the noise depends on group and seed only."""
+def private_counts(df: DataFrame, by: str, epsilon: float, seed: int | None = None) -> DataFrame:
+    """Counts with Laplace noise of scale 1 / epsilon by inverse distribution, cut at 0.
+
+    The noise is drawn from group and seed, so a retry gives the same release. Without a seed each release draws a
+    secret one; who knows the seed can take the noise off.
+    """
+    seed = secrets.randbits(63) if seed is None else seed
     c = df.groupBy(by).agg(F.count("*").alias("n"))
     u = (F.pmod(F.xxhash64(F.col(by), F.lit(seed)), F.lit(2**40)) + 0.5) / 2.0**40 - 0.5
     noise = -F.signum(u) * F.ln(1 - 2 * F.abs(u)) / epsilon

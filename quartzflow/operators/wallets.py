@@ -97,18 +97,14 @@ def pair_diversity(sides: DataFrame) -> DataFrame:
     return h.select("wallet", F.col("k").alias("n_pairs"), F.round(top, 6).alias("pair_concentration"), F.round((1 - top) / F.col("k"), 6).alias("pair_spread"), F.round(F.when(F.col("k") < 2, 0.0).otherwise(F.coalesce("h", F.lit(0.0)) / F.log2(F.col("k").cast("double"))), 6).alias("pair_diversity"))
 
 
-def net_asset_flow(trades: DataFrame) -> DataFrame:
-    """Largest absolute net flow of an asset over the wallet's gross volume."""
-    legs = F.array(
-        *[
-            F.struct(F.col(w).alias("wallet"), F.col(asset).alias("asset"), (F.lit(sign) * F.coalesce(amount, F.lit(0))).cast("decimal(20,7)").alias("x"))
-            for w, sign in (("base", 1), ("counter", -1))
-            for asset, amount, sign in (("base_asset", F.col("amount"), -sign), ("counter_asset", F.col("counter_amount"), sign))
-        ]
-    )
-    f = trades.select(F.inline(legs)).filter(F.col("wallet").isNotNull() & F.col("asset").isNotNull())
-    per = f.groupBy("wallet", "asset").agg(F.abs(F.sum("x")).alias("net"), F.sum(F.abs("x")).alias("gross"))
-    return per.groupBy("wallet").agg(F.max("net").alias("top"), F.sum("gross").alias("gross")).select("wallet", F.round(F.coalesce(F.try_divide(_num("top"), _num("gross")), F.lit(0.0)), 6).alias("net_flow"))
+def net_asset_flow(sides: DataFrame) -> DataFrame:
+    """Largest absolute net flow of an asset, counted in the trade's amount on both legs, over the wallet's volume."""
+    sign = F.when(F.col("side") == "base", F.lit(1)).otherwise(F.lit(-1))
+    legs = F.array(*[F.struct(F.col(asset).alias("asset"), (sign * k * _amount()).cast("decimal(20,7)").alias("x")) for asset, k in (("base_asset", -1), ("counter_asset", 1))])
+    per = sides.select("wallet", F.inline(legs)).filter("asset is not null").groupBy("wallet", "asset").agg(F.abs(F.sum("x")).alias("net"))
+    top = per.groupBy("wallet").agg(F.max("net").alias("top"))
+    gross = sides.groupBy("wallet").agg(F.sum(_amount()).alias("gross"))
+    return gross.join(top, "wallet", "left").select("wallet", F.round(F.coalesce(F.try_divide(_num("top"), _num("gross")), F.lit(0.0)), 6).alias("net_flow"))
 
 
 def first_pairs(sides: DataFrame) -> DataFrame:
@@ -139,7 +135,7 @@ def pair_volume_correlation(sides: DataFrame, unit: str = "minute") -> DataFrame
 
 
 def venue_features(sides: DataFrame, first: str = "sdex", second: str = "amm") -> DataFrame:
-    """Ratio of trades on both venues, net flow, shared counterparties, overlap in time."""
+    """Ratio of trades on both venues, net flow, share of the first venue's counterparties met on the second too (the wallet itself is none), overlap in time."""
     a, b = F.col("venue") == first, F.col("venue") == second
     g = sides.groupBy("wallet").agg(
         F.count_if(a).alias("na"),
@@ -147,8 +143,8 @@ def venue_features(sides: DataFrame, first: str = "sdex", second: str = "amm") -
         F.sum(F.when(a, _amount()).when(b, -_amount())).alias("net"),
         *[f(F.when(v, F.col("ts"))).alias(f"{name}{k}") for k, v in (("a", a), ("b", b)) for name, f in (("lo", F.min), ("hi", F.max))],
     )
-    per = sides.filter("cp is not null").groupBy("wallet", "cp").agg(F.max(a).alias("a"), F.max(b).alias("b"))
-    s = per.groupBy("wallet").agg(F.count_if(F.col("a") & F.col("b")).alias("i"), F.count_if(F.col("a") | F.col("b")).alias("u"))
+    per = sides.filter("cp <> wallet").groupBy("wallet", "cp").agg(F.max(a).alias("a"), F.max(b).alias("b"))
+    s = per.groupBy("wallet").agg(F.count_if(F.col("a") & F.col("b")).alias("i"), F.count_if("a").alias("u"))
     return g.join(s, "wallet", "left").select(
         "wallet",
         F.round(F.coalesce(F.try_divide(F.col("na"), F.col("nb")), F.lit(0.0)), 6).alias("venue_ratio"),

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quartzflow.functions.ids import account_id, trade_id
-from quartzflow.operators import delivery, digits, trades as tr, wallets
-from quartzflow.session import table
+from quartzflow.operators import delivery, digits, joins, trades as tr, wallets
+from quartzflow.session import table, written
 
 
 @lru_cache(maxsize=8)
@@ -216,7 +216,7 @@ def pair_diversity(spark, sf):
 
 
 def net_asset_flow(spark, sf):
-    return wallets.net_asset_flow(trades(spark, sf))
+    return wallets.net_asset_flow(sides(spark, sf))
 
 
 def pair_counterparty_jaccard(spark, sf):
@@ -283,10 +283,36 @@ def cross_pair_anomalies(spark, sf):
     return v.crossJoin(F.broadcast(m)).select("pair", F.coalesce(F.col("v") > 3 * F.col("m"), F.lit(False)).alias("anomalous"))  # the median is one row
 
 
+def feature_matrix(spark, sf):
+    """One row for every wallet with all its features, 0 where one is undefined.
+
+    The wallet sides are written once; every group of features reads its columns of them and meets the others by wallet.
+    """
+    s = written(sides(spark, sf), "sides")
+    windows = digits.windowed_metrics(s)
+    # Five rows a wallet become one.
+    mads = windows.groupBy("wallet").agg(*[F.max(F.when(F.col("window_h") == h, F.col(m))).alias(f"{m}_{h}h") for h in digits.WINDOW_HOURS for m in ("chi2", "mad", "z_max")])
+    frames = [
+        wallets.trade_pattern(s), wallets.timing(s), wallets.volume_spikes(s), wallets.inter_arrival(s), wallets.amount_entropy(s), wallets.pair_diversity(s), wallets.net_asset_flow(s), wallets.pair_overlap(s),
+        wallets.pair_volume_correlation(s).drop("n"), wallets.venue_features(s), wallets.venue_volume_correlation(s).drop("n"), wallets.cross_wallet_correlation(s).drop("n"), wallets.lifecycle(s, created(spark, sf), now(spark, sf)),
+        joins.synchrony(s, 30).drop("n"), joins.venue_synchrony(s, 10), mads,
+    ]
+    out = s.select("wallet").distinct()
+    for f in frames:
+        out = out.join(f, "wallet", "left")
+    return out.na.fill(0).select("wallet", *[F.coalesce(c, F.lit(0)).alias(c) for c in out.columns if c != "wallet"])
+
+
+def flag_scores(spark, sf):
+    """Without a model a wallet is flagged if the first digits of any window don't conform."""
+    w = digits.windowed_metrics(sides(spark, sf))
+    return w.groupBy("wallet").agg(F.bool_or("nonconforming").alias("flagged"), F.max("mad").alias("mad_max"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        trades_flat, pair_scan, watched_pairs, amm_trades, canonical_pairs, asset_classes, trade_validation, wallet_side_counts, first_activity, metadata_events,
+        feature_matrix, flag_scores, trades_flat, pair_scan, watched_pairs, amm_trades, canonical_pairs, asset_classes, trade_validation, wallet_side_counts, first_activity, metadata_events,
         digit_distribution, digit_windows, digit_pair_metrics, second_digit_metrics, log_digit_chi, class_baseline, pair_mad_dispersion, digit_discrepancy,
         trade_pattern, trade_timing, volume_spike_frequency, inter_arrival_cv, amount_entropy, pair_diversity, net_asset_flow, pair_counterparty_jaccard, pair_volume_corr,
         venue_features, venue_volume_corr, cross_wallet_volume_corr, pair_summary, lifecycle_features, bot_fingerprint, token_velocity, decimal_aggregates, thin_market,
@@ -308,6 +334,10 @@ _V = "coalesce(amount, 0)"
 _F2 = (
     ", f as (select wallet, pair, min(ts) as t0 from s group by 1, 2), f2 as (select * from (select *, row_number() over (partition by wallet order by t0, pair) as k from f) where k <= 2)"
 )
+_CORR = (
+    ", g as (select wallet, count(*) as n, case when count(*) > 1 then corr(a::double, b::double) end as c from v group by 1)"
+    " select w.wallet, coalesce(n, 0) as n, round(case when c is null or isnan(c) then 0 else c end, 4) as {} from (select distinct wallet from s) w left join g on w.wallet = g.wallet"
+)
 _ORD = "order by ts, trade_id, side"
 SQL = {
     "trades_flat": T + " select * replace (epoch_us(ts) as ts) from t",
@@ -354,28 +384,30 @@ SQL = {
     " h as (select q.wallet, k, m, t, sum(case when v > 0 then -(v::double / t::double) * log2(v::double / t::double) end) as h from p join q on p.wallet = q.wallet group by 1, 2, 3, 4)"
     " select wallet, k as n_pairs, round(coalesce(m::double / nullif(t::double, 0), 0), 6) as pair_concentration, round((1 - coalesce(m::double / nullif(t::double, 0), 0)) / k, 6) as pair_spread, round(case when k < 2 then 0 else coalesce(h, 0) / log2(k::double) end, 6) as pair_diversity from h",
     "net_asset_flow": T
-    + ", f as (select base as wallet, base_asset as asset, -coalesce(amount, 0) as x from t union all select base, counter_asset, coalesce(counter_amount, 0) from t union all select counter, base_asset, coalesce(amount, 0) from t union all select counter, counter_asset, -coalesce(counter_amount, 0) from t),"
-    " p as (select wallet, asset, abs(sum(x)) as net, sum(abs(x)) as gross from f where wallet is not null and asset is not null group by 1, 2) select wallet, round(coalesce(max(net)::double / nullif(sum(gross)::double, 0), 0), 6) as net_flow from p group by 1",
+    + ", f as (select base as wallet, base_asset as asset, -coalesce(amount, 0) as x from t union all select base, counter_asset, coalesce(amount, 0) from t union all select counter, base_asset, coalesce(amount, 0) from t where base is distinct from counter union all select counter, counter_asset, -coalesce(amount, 0) from t where base is distinct from counter),"
+    " p as (select wallet, asset, abs(sum(x)) as net from f where wallet is not null and asset is not null group by 1, 2), n as (select wallet, max(net) as net from p group by 1),"
+    " g as (select wallet, sum(coalesce(amount, 0)) as gross from (select base as wallet, amount from t union all select counter, amount from t where base is distinct from counter) where wallet is not null group by 1)"
+    " select g.wallet, round(coalesce(net::double / nullif(gross::double, 0), 0), 6) as net_flow from g left join n on g.wallet = n.wallet",
     "pair_counterparty_jaccard": S
     + _F2
     + ", b as (select s.wallet, cp, count(distinct k) as n from s join f2 on s.wallet = f2.wallet and s.pair = f2.pair where cp is not null group by 1, 2), j as (select wallet, count(*) filter (n = 2)::double / count(*) as j from b group by 1)"
     " select w.wallet, round(coalesce(j, 0), 6) as pair_overlap from (select distinct wallet from s) w left join j on w.wallet = j.wallet",
     "pair_volume_corr": S
     + _F2
-    + f", v as (select s.wallet, date_trunc('day', ts) as m, sum({_V}) filter (k = 1) as v1, sum({_V}) filter (k = 2) as v2 from s join f2 on s.wallet = f2.wallet and s.pair = f2.pair group by 1, 2)"
-    " select wallet, n, round(case when isnan(c) then null else c end, 4) as pair_corr from (select wallet, count(*) as n, corr(v1::double, v2::double) as c from v where v1 is not null and v2 is not null group by 1 having count(*) >= 2)",
+    + f", v as (select s.wallet, date_trunc('minute', ts) as m, sum({_V}) filter (k = 1) as a, sum({_V}) filter (k = 2) as b from s join f2 on s.wallet = f2.wallet and s.pair = f2.pair group by 1, 2 having a is not null and b is not null)"
+    + _CORR.format("pair_corr"),
     "venue_features": S
     + f", g as (select wallet, count(*) filter (venue = 'sdex') as na, count(*) filter (venue = 'amm') as nb, sum(case venue when 'sdex' then {_V} when 'amm' then -{_V} end) as net,"
     " min(ts) filter (venue = 'sdex') as loa, max(ts) filter (venue = 'sdex') as hia, min(ts) filter (venue = 'amm') as lob, max(ts) filter (venue = 'amm') as hib from s group by 1),"
-    " p as (select wallet, cp, bool_or(venue = 'sdex') as a, bool_or(venue = 'amm') as b from s where cp is not null group by 1, 2), x as (select wallet, count(*) filter (a and b) as i, count(*) filter (a or b) as u from p group by 1)"
+    " p as (select wallet, cp, bool_or(venue = 'sdex') as a, bool_or(venue = 'amm') as b from s where cp is not null group by 1, 2), x as (select wallet, count(*) filter (a and b) as i, count(*) filter (a) as u from p where cp <> wallet group by 1)"
     " select g.wallet, round(coalesce(na::double / nullif(nb, 0), 0), 6) as venue_ratio, cast(abs(net) as decimal(38,7)) as venue_net_flow, round(coalesce(i::double / nullif(u, 0), 0), 6) as venue_cp_overlap, coalesce(loa <= hib and lob <= hia, false)::int as venue_simultaneous from g left join x on g.wallet = x.wallet",
     "venue_volume_corr": S
-    + f", v as (select wallet, date_trunc('day', ts) as m, sum(case when venue = 'sdex' then {_V} else 0 end) as a, sum(case when venue = 'amm' then {_V} else 0 end) as b from s group by 1, 2)"
-    " select wallet, n, round(case when isnan(c) then null else c end, 4) as venue_corr from (select wallet, count(*) as n, corr(a::double, b::double) as c from v group by 1 having count(*) >= 2 and max(a) > 0 and max(b) > 0)",
+    + f", v as (select wallet, date_trunc('hour', ts) as m, sum(case when venue = 'sdex' then {_V} else 0 end) as a, sum(case when venue = 'amm' then {_V} else 0 end) as b from s group by 1, 2)"
+    + _CORR.format("venue_corr"),
     "cross_wallet_volume_corr": S
     + ", p as (select wallet, cp, count(*) as n from s where cp is not null group by 1, 2), p2 as (select * from (select *, row_number() over (partition by wallet order by n desc, cp) as k from p) where k <= 2),"
-    f" v as (select s.wallet, date_trunc('day', ts) as m, sum(case when k = 1 then {_V} else 0 end) as a, sum(case when k = 2 then {_V} else 0 end) as b from s join p2 on s.wallet = p2.wallet and s.cp = p2.cp group by 1, 2)"
-    " select wallet, n, round(case when isnan(c) then null else c end, 4) as cross_wallet_corr from (select wallet, count(*) as n, corr(a::double, b::double) as c from v group by 1 having count(*) >= 2 and max(b) > 0)",
+    f" v as (select s.wallet, date_trunc('minute', ts) as m, sum(case when k = 1 then {_V} else 0 end) as a, sum(case when k = 2 then {_V} else 0 end) as b from s join p2 on s.wallet = p2.wallet and s.cp = p2.cp group by 1, 2)"
+    + _CORR.format("cross_wallet_corr"),
     "pair_summary": T
     + f", w as (select pair, count(distinct w) as n_wallets from (select pair, base as w from t union all select pair, counter from t) where w is not null group by 1), g as (select pair, count(*) as n_trades, round(avg(coalesce(base = counter, false)::int), 6) as self_share, cast(sum({_V}) as decimal(38,7)) as volume from t group by 1)"
     " select g.*, n_wallets from g left join w on g.pair = w.pair",
@@ -412,3 +444,15 @@ SQL["thin_market"] = (
     + ", q as (select g.pair, coalesce(n_wallets, 0) as n_wallets, volume from g left join w on g.pair = w.pair)"
     " select pair, n_wallets, n_wallets < 50 or coalesce(volume < 1000, false) as thin, concat_ws('; ', case when n_wallets < 50 then 'few traders' end, case when volume < 1000 then 'low volume' end) as reasons from q"
 )
+
+_NEAR = (
+    "{0}, m as (select wallet, venue, max((venue = 'sdex')::int) over (partition by wallet order by ts range between interval 10 second preceding and interval 10 second following) as x from s)"
+    " select wallet, round(avg(x), 6) as venue_synchrony from m where venue = 'amm' group by 1"
+).format(S)
+_SYNC = S + ", m as (select wallet, (min(pair) over w <> max(pair) over w)::int as x from s where pair is not null window w as (partition by wallet order by ts range between interval 30 second preceding and interval 30 second following)) select wallet, round(avg(x), 6) as pair_synchrony from m group by 1"
+_PIVOT = "select wallet, " + ", ".join(f"max({m}) filter (window_h = {h}) as {m}_{h}h" for h in digits.WINDOW_HOURS for m in ("chi2", "mad", "z_max")) + f" from ({SQL['digit_windows']}) group by 1"
+_PARTS = [SQL[n] for n in ("trade_pattern", "trade_timing", "volume_spike_frequency", "inter_arrival_cv", "amount_entropy", "pair_diversity", "net_asset_flow", "pair_counterparty_jaccard")]
+_PARTS += [f"select * exclude (n) from ({SQL[n]})" for n in ("pair_volume_corr", "venue_volume_corr", "cross_wallet_volume_corr")]
+_PARTS += [SQL["venue_features"], SQL["lifecycle_features"], _SYNC, _NEAR, _PIVOT]
+SQL["feature_matrix"] = "select wallet, coalesce(columns(* exclude (wallet)), 0) from (" + S + " select distinct wallet from s) w " + " ".join(f"left join ({q}) p{k} using (wallet)" for k, q in enumerate(_PARTS))
+SQL["flag_scores"] = f"select wallet, bool_or(nonconforming) as flagged, max(mad) as mad_max from ({SQL['digit_windows']}) group by 1"

@@ -76,16 +76,17 @@ def pair_synchrony(spark, sf):
 
 @query(
     S
-    + ", m as (select wallet, venue, max((venue = 'sdex')::int) over (partition by wallet order by ts range between interval 600 second preceding and interval 600 second following) as x from s) select wallet, round(avg(x), 6) as venue_synchrony from m where venue = 'amm' group by 1"
+    + ", m as (select wallet, venue, max((venue = 'sdex')::int) over (partition by wallet order by ts range between interval 10 second preceding and interval 10 second following) as x from s) select wallet, round(avg(x), 6) as venue_synchrony from m where venue = 'amm' group by 1"
 )
 def venue_timing_sync(spark, sf):
-    return joins.venue_synchrony(sides(spark, sf), 600)
+    return joins.venue_synchrony(sides(spark, sf), 10)
 
 
 @query(
     T
-    + ", w as (select distinct pair, ts, w from (select pair, ts, base as w from t union all select pair, ts, counter from t) where w is not null and pair is not null)"
-    " select a.w as src, b.w as dst, count(*) as weight, epoch_us(max(greatest(a.ts, b.ts))) as latest from w a join w b on a.pair = b.pair and a.w < b.w and b.ts between a.ts - interval 5 minute and a.ts + interval 5 minute group by 1, 2"
+    + ", a as (select row_number() over () as id, pair, ts from t where pair is not null and ts is not null), w as (select distinct pair, ts, w from (select pair, ts, base as w from t union all select pair, ts, counter from t) where pair is not null and regexp_full_match(w, 'G[A-Z2-7]{55}')),"
+    " m as (select distinct a.id, a.ts, w.w from a join w on a.pair = w.pair and w.ts between a.ts and a.ts + interval 24 hour)"
+    " select x.w as src, y.w as dst, count(*) as weight, epoch_us(max(x.ts)) as latest from m x join m y on x.id = y.id and x.w < y.w group by 1, 2"
 )
 def weighted_co_trade_edges(spark, sf):
     return joins.weighted_co_trades(trades(spark, sf), 24 * 60 * MIN)
@@ -128,8 +129,11 @@ def metadata_as_of(spark, sf):
 
 @query(
     S
-    + ", h as (select wallet, venue, date_trunc('day', ts) as b, count(*) as c from s group by 1, 2, 3), j as (select x.wallet, y.wallet as other, count(*) as n, covar_pop(x.c, y.c) / nullif(stddev_pop(x.c) * stddev_pop(y.c), 0) as r from h x join h y on x.b = y.b and x.wallet <> y.wallet where x.venue = 'amm' and y.venue = 'sdex' group by 1, 2)"
-    " select wallet, other, n, round(r, 4) as r from j where n >= 5 and r >= 0.9"
+    + ", e as (select min(epoch_us(ts)) as lo, ceil((max(epoch_us(ts)) - min(epoch_us(ts))) / 3600000000)::bigint as bins from s where venue in ('amm', 'sdex')),"
+    " h as (select wallet, venue, least((epoch_us(ts) - lo) // 3600000000, bins - 1) as b, count(*)::double as c from s, e where venue in ('amm', 'sdex') group by 1, 2, 3), o as (select wallet, venue, sum(c) as s1, sum(c * c) as s2 from h group by 1, 2),"
+    " j as (select x.wallet, y.wallet as other, count(*) as n, sum(x.c * y.c) as xy from h x join h y on x.b = y.b and x.wallet <> y.wallet where x.venue = 'amm' and y.venue = 'sdex' group by 1, 2),"
+    " r as (select j.wallet, j.other, n, (bins * xy - a.s1 * b.s1) / sqrt((bins * a.s2 - a.s1 * a.s1) * (bins * b.s2 - b.s1 * b.s1)) as r from j join o a on a.wallet = j.wallet and a.venue = 'amm' join o b on b.wallet = j.other and b.venue = 'sdex', e)"
+    " select wallet, other, n, round(r, 4) as r from r where r >= 0.8"
 )
 def timing_correlation_links(spark, sf):
     s = sides(spark, sf)
@@ -330,7 +334,7 @@ def _psi_sql() -> str:
         return f"{name}0 as (select pair, {', '.join(cs)} from t where amount is not null and {cond} group by 1), {name} as (select pair, " + ", ".join(f"s{k} / ({tot}) as {name}{k}" for k in range(6)) + f" from {name}0)"
 
     terms = " + ".join(f"(o{k} - e{k}) * ln(o{k} / e{k})" for k in range(6))
-    return T + ", " + part("e", "ts < timestamp '2024-04-01'") + ", " + part("o", "ts >= timestamp '2024-04-01'") + f" select e.pair, round({terms}, 6) as psi, {terms} > 0.25 as drifted from e join o on e.pair = o.pair"
+    return T + ", " + part("e", "ts < timestamp '2024-04-01'") + ", " + part("o", "ts >= timestamp '2024-04-01'") + f" select e.pair, round({terms}, 6) as psi, {terms} >= 0.25 as drifted from e join o on e.pair = o.pair"
 
 
 @query(_psi_sql())
@@ -498,9 +502,16 @@ def dp_counts(spark, sf):
 # ---- scalar functions, storage --------------------------------------------------------------------------------------
 
 
-@query(C_SQL[1:].replace(" cr as", "with cr as", 1) + " select 'anon_' || left(sha256(wallet), 32) as pseudonym, repeat('*', length(wallet) - 4) || right(wallet, 4) as masked, strftime(created, '%Y-%m') as month from cr where length(wallet) > 4")
+PSEUDONYM_KEY = b"key of the test tables"  # real data take a secret one
+_IN, _OUT = (bytes(x ^ y for x in PSEUDONYM_KEY.ljust(64, b"\0")).hex() for y in (0x36, 0x5C))
+
+
+@query(
+    C_SQL[1:].replace(" cr as", "with cr as", 1)
+    + f" select 'anon_' || left(sha256(unhex('{_OUT}') || unhex(sha256(unhex('{_IN}') || encode(wallet)))), 32) as pseudonym, case when length(wallet) <= 4 then repeat('*', length(wallet)) else repeat('*', length(wallet) - 4) || right(wallet, 4) end as masked, strftime(created, '%Y-%m') as month from cr"
+)
 def pseudonyms(spark, sf):
-    return created(spark, sf).filter("length(wallet) > 4").select(scalar.pseudonym(F.col("wallet")).alias("pseudonym"), scalar.masked(F.col("wallet")).alias("masked"), F.date_format("created", "yyyy-MM").alias("month"))
+    return created(spark, sf).select(scalar.pseudonym(F.col("wallet"), PSEUDONYM_KEY).alias("pseudonym"), scalar.masked(F.col("wallet")).alias("masked"), F.date_format("created", "yyyy-MM").alias("month"))
 
 
 @query(T + " select pair, cast(sum(cast(round(coalesce(amount, 0) * 10000000) as hugeint)) as decimal(38,0)) as stroops from t group by 1")
@@ -510,7 +521,8 @@ def stroops(spark, sf):
 
 @query(
     T
-    + ", x as (select *, case when split_part(base_asset, ':', 1) = 'USDX' then amount::double when split_part(counter_asset, ':', 1) = 'USDX' then amount::double * price::double end as usd from t) select pair, count(*) as n, count(usd) as n_rated, round(sum(usd), 2) as usd from x where amount < 1000000 group by 1"
+    + ", x as (select *, case when split_part(base_asset, ':', 1) = 'USDX' then amount::decimal(38,13) when split_part(counter_asset, ':', 1) = 'USDX' then (amount * price)::decimal(38,13) end as usd from t) select pair, count(*) as n, count(usd) as n_rated,"
+    " count(*) filter (amount is null) as n_null, count(*) filter (amount is not null and usd is null) as n_unrated, round(sum(usd), 2)::decimal(38,2) as usd from x group by 1"
 )
 def normalised_totals(spark, sf):
     """Volumes in dollars where one leg is the dollar; others have no rate and are counted apart."""

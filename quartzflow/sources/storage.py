@@ -34,8 +34,16 @@ def write_by_prefix(df: DataFrame, path: str, wallet: str, length: int = 2, mode
     df.withColumn("prefix", F.upper(F.substring(wallet, 1, length))).hint("rebalance", "prefix").write.mode(mode).partitionBy("prefix").parquet(path)
 
 
-def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``new``, and those of ``old`` whose key it lacks; keys are matched null-safe."""
+def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """One row a key of ``new``, and those of ``old`` whose key it lacks; keys are matched null-safe.
+
+    Of rows of ``new`` with the same key the last by ``order`` counts, and of equals the greatest row.
+    """
+    rest = [c for c in new.columns if c not in keys]
+    if rest:
+        new = new.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order, *rest)).alias("__r")).select(*keys, "__r.*").select(*new.columns)
+    else:
+        new = new.distinct()
     n = new.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
     on = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
     return old.join(n, on, "left_anti").unionByName(new)

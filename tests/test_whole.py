@@ -10,37 +10,10 @@ from pathlib import Path
 import pytest
 
 from quartzflow.operators import joins, trades, wallets
-from quartzflow.plans.ledger import _F2, _V, S, T
 
 from tests.test_features import TRADE, tr
 
-_CORR = (
-    ", g as (select wallet, count(*) as n, case when count(*) > 1 then corr(a::double, b::double) end as c from v group by 1)"
-    " select w.wallet, coalesce(n, 0) as n, round(case when c is null or isnan(c) then 0 else c end, 4) as {} from (select distinct wallet from s) w left join g on w.wallet = g.wallet"
-)
-# Written apart from the SQL of the queries, which holds the old cuts.
-WHOLE = {
-    "normalised_totals": T
-    + ", x as (select *, case when split_part(base_asset, ':', 1) = 'USDX' then amount::decimal(38,13) when split_part(counter_asset, ':', 1) = 'USDX' then (amount * price)::decimal(38,13) end as usd from t) select pair, count(*) as n, count(usd) as n_rated,"
-    " count(*) filter (amount is null) as n_null, count(*) filter (amount is not null and usd is null) as n_unrated, round(sum(usd), 2)::decimal(38,2) as usd from x group by 1",
-    "timing_correlation_links": S
-    + ", e as (select min(epoch_us(ts)) as lo, ceil((max(epoch_us(ts)) - min(epoch_us(ts))) / 3600000000)::bigint as bins from s where venue in ('amm', 'sdex')),"
-    " h as (select wallet, venue, least((epoch_us(ts) - lo) // 3600000000, bins - 1) as b, count(*)::double as c from s, e where venue in ('amm', 'sdex') group by 1, 2, 3), o as (select wallet, venue, sum(c) as s1, sum(c * c) as s2 from h group by 1, 2),"
-    " j as (select x.wallet, y.wallet as other, count(*) as n, sum(x.c * y.c) as xy from h x join h y on x.b = y.b and x.wallet <> y.wallet where x.venue = 'amm' and y.venue = 'sdex' group by 1, 2),"
-    " r as (select j.wallet, j.other, n, (bins * xy - a.s1 * b.s1) / sqrt((bins * a.s2 - a.s1 * a.s1) * (bins * b.s2 - b.s1 * b.s1)) as r from j join o a on a.wallet = j.wallet and a.venue = 'amm' join o b on b.wallet = j.other and b.venue = 'sdex', e)"
-    " select wallet, other, n, round(r, 4) as r from r where r >= 0.8",
-    "pair_volume_corr": S
-    + _F2
-    + f", v as (select s.wallet, date_trunc('minute', ts) as m, sum({_V}) filter (k = 1) as a, sum({_V}) filter (k = 2) as b from s join f2 on s.wallet = f2.wallet and s.pair = f2.pair group by 1, 2 having a is not null and b is not null)"
-    + _CORR.format("pair_corr"),
-    "venue_volume_corr": S
-    + f", v as (select wallet, date_trunc('hour', ts) as m, sum(case when venue = 'sdex' then {_V} else 0 end) as a, sum(case when venue = 'amm' then {_V} else 0 end) as b from s group by 1, 2)"
-    + _CORR.format("venue_corr"),
-    "cross_wallet_volume_corr": S
-    + ", p as (select wallet, cp, count(*) as n from s where cp is not null group by 1, 2), p2 as (select * from (select *, row_number() over (partition by wallet order by n desc, cp) as k from p) where k <= 2),"
-    f" v as (select s.wallet, date_trunc('minute', ts) as m, sum(case when k = 1 then {_V} else 0 end) as a, sum(case when k = 2 then {_V} else 0 end) as b from s join p2 on s.wallet = p2.wallet and s.cp = p2.cp group by 1, 2)"
-    + _CORR.format("cross_wallet_corr"),
-}
+WHOLE = ("normalised_totals", "timing_correlation_links", "pair_volume_corr", "venue_volume_corr", "cross_wallet_volume_corr", "weighted_co_trade_edges", "feature_matrix", "flag_scores", "net_asset_flow", "venue_features")
 
 
 @pytest.mark.parametrize("name", WHOLE)
@@ -51,11 +24,7 @@ def test_whole_job_over_the_tables(spark, name):
     import __spark_entry__ as e
     from tools import oracle
 
-    class Entry:
-        queries = staticmethod(e.queries)
-        oracle_sql = staticmethod(lambda: WHOLE)
-
-    assert ": ok" in (said := oracle.compare(spark, oracle.duck(sf), name, sf, Entry)), said
+    assert ": ok" in (said := oracle.compare(spark, oracle.duck(sf), name, sf, e)), said
 
 
 def test_dollar_totals_keep_extreme_null_and_unrated_trades(spark):
