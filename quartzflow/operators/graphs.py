@@ -70,6 +70,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError(f"components are not complete after {most_rounds} rounds")
     root = state.groupBy("u").agg(F.min("v").alias("component"))
     return nodes.join(root, nodes.node == root.u, "left").select("node", F.coalesce("component", "node").alias("component"))
 
@@ -126,11 +128,12 @@ def motifs(edges: DataFrame) -> DataFrame:
     return tri.crossJoin(wedges).crossJoin(c4).crossJoin(rec)  # one row each
 
 
-def propagate_risk(seeds: DataFrame, edges: DataFrame, alpha: float = 0.15, rounds: int = 20) -> DataFrame:
+def propagate_risk(seeds: DataFrame, edges: DataFrame, alpha: float = 0.15, rounds: int = 50, tolerance: float = 1e-6) -> DataFrame:
     """Personalised PageRank of the seeds (node, score 0 to 100): (node, risk 0 to 100).
 
     Being linear, one iteration with the seeds' sum equals the sum over seeds. Mass at nodes without an outgoing
-    edge is lost, as there is nowhere to send it.
+    edge is lost, as there is nowhere to send it. Ends when a round moves less than ``tolerance`` in all, or after
+    ``rounds``.
     """
     e = edges.filter("src <> dst").select("src", "dst").distinct()
     out = e.groupBy("src").agg(F.count("*").alias("k"))
@@ -139,5 +142,8 @@ def propagate_risk(seeds: DataFrame, edges: DataFrame, alpha: float = 0.15, roun
     x = start.select("node", F.col("s").alias("x"))
     for _ in range(rounds):
         flow = w.join(x, w.src == x.node).groupBy("dst").agg(F.sum(F.col("x") * F.col("w")).alias("f"))
-        x = written(start.join(flow, start.node == flow.dst, "full").select(F.coalesce("node", "dst").alias("node"), (alpha * F.coalesce("s", F.lit(0.0)) + (1 - alpha) * F.coalesce("f", F.lit(0.0))).alias("x")), "risk")
+        last, x = x, written(start.join(flow, start.node == flow.dst, "full").select(F.coalesce("node", "dst").alias("node"), (alpha * F.coalesce("s", F.lit(0.0)) + (1 - alpha) * F.coalesce("f", F.lit(0.0))).alias("x")), "risk")
+        old = last.withColumnRenamed("x", "y")
+        if (x.join(old, "node", "full").agg(F.sum(F.abs(F.coalesce("x", F.lit(0.0)) - F.coalesce("y", F.lit(0.0))))).head()[0] or 0.0) < tolerance:
+            break
     return x.select("node", F.round(F.least(F.lit(100.0), F.col("x") * 100), 6).alias("risk"))

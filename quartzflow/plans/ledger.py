@@ -7,13 +7,14 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quartzflow import session
 from quartzflow.functions.ids import account_id, trade_id
 from quartzflow.operators import delivery, digits, joins, trades as tr, wallets
 from quartzflow.session import table, written
 
 
 @lru_cache(maxsize=8)
-def _kept(app: str, sf: str, files: tuple[str, ...]) -> delivery.Deduplicated:
+def _kept(app: str, sf: str, files: tuple[str, ...], cleared: int) -> delivery.Deduplicated:
     spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
     return delivery.one_copy_each(spark, f"{sf}/json_trade_0.parquet", trade_id("trade_id"), "delivery_id")
 
@@ -21,7 +22,7 @@ def _kept(app: str, sf: str, files: tuple[str, ...]) -> delivery.Deduplicated:
 def trades(spark: SparkSession, sf: str) -> DataFrame:
     """Kept copies, flattened. The vectors that name them are written once per table and session."""
     files = tuple(table(spark, sf, "json_trade_0").inputFiles())
-    return tr.flat_trades(_kept(spark.sparkContext.applicationId, sf, files).kept)
+    return tr.flat_trades(_kept(spark.sparkContext.applicationId, sf, files, session.cleared).kept)
 
 
 def sides(spark: SparkSession, sf: str) -> DataFrame:

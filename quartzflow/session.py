@@ -48,10 +48,23 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder, removed when the driver ends."""
     path = f"{shared_dir(spark)}/quartzflow/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
     atexit.register(_remove, spark, path)
     return path
 
 
+_SCRATCH: list[str] = []
+cleared = 0  # times it was; what is remembered from before is no longer there
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all that was written to the shared folder so far: for drivers that live long, between two jobs whose results are taken."""
+    global cleared
+    cleared += 1
+    while _SCRATCH:
+        _remove(spark, _SCRATCH.pop())
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from quartzflow.operators import digits
 from quartzflow.sources import storage
 
 WIRE = "trade_id string, base_account string, counter_account string, base_amount double, counter_amount double, price double, asset_pair string, ledger_close_time timestamp, ingestion_timestamp_ms bigint"
@@ -52,7 +53,7 @@ def with_metadata(trades: DataFrame, updates: DataFrame, valid: str = "1 hour",
 
 STATE = "last timestamp, c array<double>, n bigint"
 SCORE = "wallet string, ts timestamp, n bigint, mad double"
-_EXPECTED = [0.30103, 0.176091, 0.124939, 0.09691, 0.0791812, 0.0669468, 0.0579919, 0.0511525, 0.0457575]
+_EXPECTED = list(digits.FIRST.values())
 
 
 def decayed_digit_scores(sides: DataFrame, seconds: float, least: int = 20, late: str = "1 hour") -> DataFrame:
@@ -109,13 +110,13 @@ def cooled(alerts: DataFrame, threshold: float, pause_s: float) -> DataFrame:
     return alerts.groupBy("wallet").applyInPandasWithState(step, "wallet string, at timestamp, score double", "last timestamp", "append", GroupStateTimeout.NoTimeout)
 
 
-def upsert_to(path: str, keys: list[str]):
+def upsert_to(path: str, keys: list[str], order: tuple[str, ...] = ()):
     """For foreachBatch: merge a batch into the table at ``path``; versions are written side by side and the newest is read."""
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         before = _newest(spark, path, number)
-        merged = batch if before is None else storage.upsert(spark.read.parquet(before), batch, keys)
+        merged = storage.upsert(batch.limit(0), batch, keys, order) if before is None else storage.upsert(spark.read.parquet(before), batch, keys, order)
         merged.write.mode("overwrite").parquet(f"{path}/v={number:012d}")
 
     return write
