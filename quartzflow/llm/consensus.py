@@ -6,6 +6,7 @@ iteration is one narrow pass over the written patterns, and only (annotators x l
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -78,11 +79,10 @@ def consensus(verdicts: DataFrame, smoothing: float = SMOOTHING, max_rounds: int
     """
     spark = verdicts.sparkSession
     verdicts = written(verdicts, "verdicts")
-    labels = {r[0]: j for j, r in enumerate(verdicts.select("label").distinct().orderBy("label").collect())}
-    n_annotators = verdicts.agg(F.count_distinct("annotator")).head()[0]
-    k = len(labels)
+    n_annotators, k = verdicts.agg(F.count_distinct("annotator"), F.count_distinct("label")).head()
     if n_annotators * k * k > MODEL_CELLS:
         raise ValueError(f"{n_annotators} annotators and {k} labels exceed the model's bound of {MODEL_CELLS} cells")
+    labels = {r[0]: j for j, r in enumerate(verdicts.select("label").distinct().orderBy("label").collect())}
     names = [r[0] for r in verdicts.select("annotator").distinct().orderBy("annotator").collect()]
     if not names:
         return Consensus(
@@ -130,6 +130,8 @@ def consensus(verdicts: DataFrame, smoothing: float = SMOOTHING, max_rounds: int
         model = new
         if moved < TOLERANCE:
             break
+    else:
+        warnings.warn(f"the consensus still moved by {moved:.2g} after {max_rounds} rounds", stacklevel=2)
 
     by_code = list(labels)
 
