@@ -7,10 +7,16 @@ residual. Where only the existence of a neighbour matters a window frame answers
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.dataset as ds
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quartzflow.session import read_blocks, told_apart, written
+
 SECOND = 1_000_000
 DAY = 86_400 * SECOND
 VALID = "^G[A-Z2-7]{55}$"
@@ -148,23 +154,75 @@ def timing_correlation(a: DataFrame, b: DataFrame, seconds: int = 3600, least: i
     """Wallets of two venues whose activity histograms correlate over all bins between the first and last trade, empty ones included: (wallet, other, n, r).
 
     Bins begin at the first trade; ``n`` counts those in which both were active. Zeros need no rows: the sums over shared
-    bins and each wallet's own sums give r, and without a shared bin r is below 0. Pairs that can't reach the threshold,
-    as their sum of products is at most the largest count of one times the sum of the other, are left out in the join.
+    bins and each wallet's own sums give r, and without a shared bin r is below 0. Wallets move as hashes and pairs not
+    at all: histograms, one row a wallet, lie in the shared folder, and a task holds some of one venue and reads all of the other.
     """
-    times = lambda df: df.filter("ts is not null").select("wallet", F.unix_micros("ts").alias("us"))
     width = seconds * SECOND
-    ends = times(a).unionByName(times(b)).agg(F.min("us").alias("lo"), F.max("us").alias("hi")).select("lo", F.ceil((F.col("hi") - F.col("lo")) / width).cast("bigint").alias("bins")).filter(F.col("bins") >= least)
-
-    def hist(df: DataFrame, name: str, x: str) -> DataFrame:
-        # The last bin is closed.
-        slot = F.least(F.floor((F.col("us") - F.col("lo")) / width).cast("bigint"), F.col("bins") - 1)
-        h = times(df).crossJoin(F.broadcast(ends)).groupBy(F.col("wallet").alias(name), "bins", slot.alias("bin")).agg(F.count("*").alias(x))
-        w = Window.partitionBy(name)
-        own = h.withColumns({f"s{x}": F.sum(x).over(w), f"m{x}": F.max(x).over(w), f"q{x}": F.sum(F.col(x) * F.col(x)).over(w)})
-        return own.withColumn(f"v{x}", F.col("bins") * F.col(f"q{x}") - F.col(f"s{x}") * F.col(f"s{x}")).drop(f"q{x}").filter(f"v{x} > 0")
-
-    j = hist(a, "wallet", "x").join(hist(b, "other", "y").drop("bins"), "bin").filter("wallet <> other")
-    r = lambda xy: (F.col("bins") * xy - F.col("sx") * F.col("sy")) / (F.sqrt("vx") * F.sqrt("vy"))
-    near = j.filter(r(F.least(F.col("mx") * F.col("sy"), F.col("my") * F.col("sx"))) >= threshold - 1e-9)
-    g = near.groupBy("wallet", "other", "bins", "sx", "sy", "vx", "vy").agg(F.count("*").alias("n"), F.sum(F.col("x") * F.col("y")).alias("xy"))
-    return g.select("wallet", "other", "n", r(F.col("xy")).alias("r")).filter(F.col("r") >= threshold).withColumn("r", F.round("r", 4))
+    side = lambda df, right: df.filter("ts is not null").select(F.lit(right).alias("right"), "wallet", F.unix_micros("ts").alias("us"))
+    both = side(a, False).unionByName(side(b, True))
+    names, h = told_apart(both.groupBy("wallet").agg(F.min("us").alias("lo"), F.max("us").alias("hi")), "wallet")
+    ends = names.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).select("lo", F.ceil((F.col("hi") - F.col("lo")) / width).cast("bigint").alias("bins")).filter(F.col("bins") >= least)
+    # The last bin is closed.
+    slot = F.least(F.floor((F.col("us") - F.col("lo")) / width).cast("bigint"), F.col("bins") - 1)
+    c = both.crossJoin(F.broadcast(ends)).groupBy("right", h("wallet").alias("w"), "bins", slot.alias("bin")).agg(F.count("*").alias("c"))
+    square = F.col("c") * F.col("c")
+    per = c.groupBy("right", "w", "bins").agg(F.sum("c").alias("s"), F.sum(square).alias("q"), F.max("c").alias("m"), F.collect_list(F.struct("bin", "c")).alias("h"))
+    per = per.withColumn("v", F.col("bins") * F.col("q") - F.col("s") * F.col("s")).filter("v > 0").select("right", "w", "bins", "s", "m", "v", "h.bin", "h.c")
+    rows = written(per, "histograms")
+    entries = rows.filter("not right").agg(F.sum(F.size("bin"))).head()[0] or 0
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-entries // ENTRIES))
+    at = rows.inputFiles()
+    found = rows.filter("not right").drop("right").repartition(tasks, "w").mapInArrow(lambda it: _correlated(it, at, threshold), "wx bigint, wy bigint, n bigint, r double")
+    name = lambda w, n: names.select(h("wallet").alias(w), F.col("wallet").alias(n))
+    return found.join(name("wx", "wallet"), "wx").join(name("wy", "other"), "wy").filter("wallet <> other").select("wallet", "other", "n", F.round("r", 4).alias("r"))
+
+
+ENTRIES = 1 << 18  # wallets' bins that a task holds
+PAIRS = 1 << 21  # entries compared at once
+
+
+def _correlated(batches: Iterator[pa.RecordBatch], files: list[str], threshold: float) -> Iterator[pa.RecordBatch]:
+    """Pairs of the wallets in ``batches`` with those of the other side in ``files``."""
+    import numpy as np
+
+    held = [x for x in batches if x.num_rows]
+    if not held:
+        return
+    x = pa.Table.from_batches(held).combine_chunks()
+    w, bins, s, m, v, bin_, c, k = _flat(x)
+    ofx = np.repeat(np.arange(len(w)), k)
+    order = np.argsort(bin_, kind="stable")
+    bin_, c, ofx = bin_[order], c[order], ofx[order]
+    lo = np.searchsorted(bin_, np.arange(bins[0] + 1))
+    for y in read_blocks(files, ds.field("right"), 4096):
+        wy, _, sy, my, vy, biny, cy, ky = _flat(y)
+        ofy, meets = np.repeat(np.arange(len(wy)), ky), lo[biny + 1] - lo[biny]
+        total = np.r_[0, np.cumsum(np.add.reduceat(np.r_[meets, 0], np.r_[0, np.cumsum(ky)[:-1]]))]  # a wallet has a bin at least
+        begin, first = np.r_[0, np.cumsum(ky)], 0
+        while first < len(wy):
+            # Whole wallets, so that their sums are complete.
+            last = max(first + 1, int(np.searchsorted(total, total[first] + PAIRS, side="right")) - 1)
+            part = slice(begin[first], begin[last])
+            first = last
+            n = meets[part]
+            j = np.repeat(np.arange(part.start, part.stop), n)
+            i = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + lo[biny[j]]
+            a, b = ofx[i], ofy[j]
+            most = bins[0] * np.minimum(m[a] * sy[b], my[b] * s[a]) - s[a] * sy[b]
+            near = most >= (threshold - 1e-9) * np.sqrt(v[a].astype(float) * vy[b])
+            i, j, a, b = i[near], j[near], a[near], b[near]
+            pair, at, shared = np.unique(b * len(w) + a, return_inverse=True, return_counts=True)
+            xy = np.zeros(len(pair), np.int64)
+            np.add.at(xy, at, c[i] * cy[j])
+            a, b = pair % len(w), pair // len(w)
+            r = (bins[0] * xy - s[a] * sy[b]) / np.sqrt(v[a].astype(float) * vy[b])
+            hit = r >= threshold
+            yield pa.RecordBatch.from_arrays([pa.array(w[a[hit]]), pa.array(wy[b[hit]]), pa.array(shared[hit]), pa.array(r[hit])], names=["wx", "wy", "n", "r"])
+
+
+def _flat(t: pa.Table | pa.RecordBatch) -> list:
+    """Columns of histograms as arrays: one value a wallet, bins and counts end to end, and how many of these a wallet has."""
+    one = [t[n].to_numpy() for n in ("w", "bins", "s", "m", "v")]
+    lists = [x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in (t["bin"], t["c"])]
+    lists = [x.chunk(0) if isinstance(x, pa.ChunkedArray) else x for x in lists]
+    return [*one, *(x.flatten().to_numpy() for x in lists), lists[0].value_lengths().to_numpy().astype("int64")]

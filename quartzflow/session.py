@@ -5,8 +5,10 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def make_session(app: str = "quartzflow", master: str | None = None, **conf: str) -> SparkSession:
@@ -84,5 +86,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def read_blocks(files: list[str], condition, rows: int):
+    """Arrow batches, not empty, of ``files``: for tasks that read a written table as a whole, a block at a time."""
+    import pyarrow.dataset as ds
+    import pyarrow.fs as pafs
+
+    for uri in files:
+        fs, path = pafs.FileSystem.from_uri(uri)
+        for block in ds.dataset(path, filesystem=fs, format="parquet").to_batches(filter=condition, batch_size=rows, batch_readahead=1, fragment_readahead=1):
+            if block.num_rows:
+                yield block
+
+
+def told_apart(names: DataFrame, name: str) -> tuple[DataFrame, Callable[[Column | str], Column]]:
+    """``names``, one row a ``name``, written, and a 64-bit hash that is different for each: ids of 8 bytes for joins that would move long names."""
+    names = written(names, "names")
+    for seed in range(100):
+        h = lambda c, seed=seed: F.xxhash64(F.lit(seed), c)
+        rows, hashes = names.agg(F.count("*"), F.count_distinct(h(name))).head()
+        if rows == hashes:
+            return names, h
+    raise ValueError(f"{name} is not unique")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
