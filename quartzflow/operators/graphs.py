@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from quartzflow.session import written
+from quartzflow.session import read_blocks, told_apart, written
 
 
 def undirected(edges: DataFrame) -> DataFrame:
@@ -107,25 +111,84 @@ def ring_statistics(member: DataFrame, edges: DataFrame) -> DataFrame:
 def motifs(edges: DataFrame) -> DataFrame:
     """Triangles, wedges, four-cycles of the undirected graph and reciprocity of the directed one, in one row.
 
-    Edges point from the node of lower degree to the higher, which bounds the wedges at hubs.
+    Nodes are hashes, then numbers in the order of their degrees. A two-step path is looked at only from its highest
+    node, which bounds the paths at hubs: those to a lower end by lower middles. Two of them between the same ends are a
+    four-cycle, one whose ends are joined is half a triangle. They are counted in tasks that have the neighbours of some
+    highest nodes and read all neighbours from the shared folder, so no path is moved.
     """
-    e = written(undirected(edges), "edges")
+    ends = edges.filter("src <> dst")
+    _, h = told_apart(ends.select(F.explode(F.array("src", "dst")).alias("node")).distinct(), "node")
+    d = written(ends.select(h("src").alias("src"), h("dst").alias("dst")).distinct(), "edges")
+    rec = d.join(d.select(F.col("dst").alias("src"), F.col("src").alias("dst"), F.lit(1).alias("r")), ["src", "dst"], "left").agg(F.round(F.coalesce(F.avg(F.coalesce("r", F.lit(0))), F.lit(0.0)), 6).alias("reciprocity"))
+    e = undirected(d)
     deg = e.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("d"))
-    j = e.join(deg.select(F.col("node").alias("a"), F.col("d").alias("da")), "a").join(deg.select(F.col("node").alias("b"), F.col("d").alias("db")), "b")
-    up = (F.col("da") < F.col("db")) | ((F.col("da") == F.col("db")) & (F.col("a") < F.col("b")))
-    o = written(j.select(F.when(up, F.col("a")).otherwise(F.col("b")).alias("u"), F.when(up, F.col("b")).otherwise(F.col("a")).alias("v")), "oriented")
-    wedge = o.select("u", "v").join(o.select("u", F.col("v").alias("w")), "u").filter("v < w")
-    tri = wedge.join(e.withColumnsRenamed({"a": "v", "b": "w"}), ["v", "w"]).agg(F.count("*").alias("triangles"))
+    # Over sorted rows these ids rise with the order; less the gaps between partitions they are numbers without gaps.
+    deg = written(deg.orderBy("d", "node").withColumn("id", F.monotonically_increasing_id()).withColumn("part", F.shiftright("id", 33)), "degrees")
+    before = F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    gaps = deg.groupBy("part").agg(F.count("*").alias("size")).select("part", (F.coalesce(before, F.lit(0)) - F.shiftleft("part", 33)).alias("gap"))
+    deg = deg.join(F.broadcast(gaps), "part").select("node", "d", (F.col("id") + F.col("gap")).alias("r"))  # gaps: a row a partition
     wedges = deg.agg(F.sum(F.col("d") * (F.col("d") - 1) / 2).cast("bigint").alias("wedges"))
-    # Four-cycles: pairs of two-step paths between the same ends whose middles and far end rank below the near end.
-    x, y = (F.struct(F.col(f"d{c}").alias("d"), F.col(c).alias("n")) for c in "ab")
-    both = j.select(x.alias("x"), y.alias("y")).union(j.select(y.alias("x"), x.alias("y")))
-    lower = both.filter("y < x").select("x", F.col("y").alias("m"))
-    paths = lower.join(both.select(F.col("x").alias("m"), F.col("y").alias("z")), "m").filter("z < x").groupBy("x", "z").agg(F.count("*").alias("p"))
-    c4 = paths.agg(F.coalesce(F.sum(F.col("p") * (F.col("p") - 1) / 2), F.lit(0)).cast("bigint").alias("four_cycles"))
-    d = edges.filter("src <> dst").select("src", "dst").distinct()
-    rec = d.join(d.select(F.col("dst").alias("src"), F.col("src").alias("dst"), F.lit(1).alias("r")), ["src", "dst"], "left").agg(F.round(F.coalesce(F.avg(F.coalesce("r", F.lit(0))), F.lit(0.0)), 6).alias("reciprocity"))
-    return tri.crossJoin(wedges).crossJoin(c4).crossJoin(rec)  # one row each
+    j = e.join(deg.select(F.col("node").alias("a"), F.col("r").alias("x")), "a").join(deg.select(F.col("node").alias("b"), F.col("r").alias("y")), "b").select("x", "y")
+    both = j.union(j.select("y", "x"))
+    near = written(both.groupBy("x").agg(F.sort_array(F.collect_list("y")).alias("n")), "neighbours")
+    nodes, entries = near.agg(F.count("*"), F.coalesce(F.sum(F.size("n")), F.lit(0))).head()
+    at, tasks = near.inputFiles(), max(near.sparkSession.sparkContext.defaultParallelism, -(-entries // NEIGHBOURS))
+    counted = near.repartition(tasks, "x").mapInArrow(lambda it: _paths(it, at, nodes), "triangles bigint, four_cycles bigint")
+    found = counted.agg((F.coalesce(F.sum("triangles"), F.lit(0)) / 2).cast("bigint").alias("triangles"), F.coalesce(F.sum("four_cycles"), F.lit(0)).alias("four_cycles"))
+    return found.crossJoin(wedges).crossJoin(rec).select("triangles", "wedges", "four_cycles", "reciprocity")  # one row each
+
+
+NEIGHBOURS = 1 << 17  # that a task holds
+PATHS = 1 << 21  # looked at once
+
+
+def _paths(batches: Iterator[pa.RecordBatch], files: list[str], nodes: int) -> Iterator[pa.RecordBatch]:
+    """Twice the triangles, and the four-cycles, whose highest node is in ``batches``."""
+    import numpy as np
+
+    held = [t for t in batches if t.num_rows]
+    if not held:
+        return
+    x = np.concatenate([t["x"].to_numpy() for t in held])
+    of = np.repeat(np.arange(len(x)), np.concatenate([t["n"].value_lengths().to_numpy() for t in held]))
+    m = np.concatenate([t["n"].flatten().to_numpy() for t in held])
+    low = m < x[of]
+    of, m = of[low], m[low]
+    joined = np.sort(of * nodes + m)
+    order = np.argsort(m, kind="stable")
+    of, m = of[order], m[order]
+    cells, counts, new, size = np.empty(0, np.int64), np.empty(0, np.int64), [], 0
+
+    def summed():
+        key, n = np.unique(np.concatenate(new), return_counts=True) if new else (cells[:0], counts[:0])
+        key, n = np.concatenate([cells, key]), np.concatenate([counts, n])
+        order = np.argsort(key, kind="stable")
+        key, n = key[order], n[order]
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
+        return key[first], np.add.reduceat(n, first) if len(first) else n
+
+    for block in read_blocks(files, None, 32_768):
+        ids, z, k = block["x"].to_numpy(), block["n"].flatten().to_numpy(), block["n"].value_lengths().to_numpy().astype("int64")
+        begin = np.cumsum(k) - k
+        rank = np.argsort(ids)
+        row = np.minimum(np.searchsorted(ids, m, sorter=rank), len(ids) - 1)
+        there = np.flatnonzero(ids[rank[row]] == m)
+        row, top = rank[row[there]], of[there]
+        # Neighbours are sorted: those below the highest node come first.
+        n = np.searchsorted(np.repeat(np.arange(len(ids)), k) * nodes + z, row * nodes + x[top]) - begin[row]
+        total, first = np.r_[0, np.cumsum(n)], 0
+        while first < len(n):
+            last = max(first + 1, int(np.searchsorted(total, total[first] + PATHS, side="right")) - 1)
+            c = n[first:last]
+            at = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c) + np.repeat(begin[row[first:last]], c)
+            new.append(np.repeat(top[first:last], c) * nodes + z[at])
+            size, first = size + len(at), last
+            if size > PATHS:
+                cells, counts = summed()
+                new, size = [], 0
+    cells, counts = summed()
+    side = joined[np.minimum(np.searchsorted(joined, cells), len(joined) - 1)] == cells if len(joined) else cells < 0
+    yield pa.RecordBatch.from_arrays([pa.array([int(counts[side].sum())]), pa.array([int((counts * (counts - 1) // 2).sum())])], names=["triangles", "four_cycles"])
 
 
 def propagate_risk(seeds: DataFrame, edges: DataFrame, alpha: float = 0.15, rounds: int = 50, tolerance: float = 1e-6) -> DataFrame:

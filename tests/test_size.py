@@ -1,6 +1,9 @@
 """Operators that once moved every pair they compared: what they shuffle must grow with the rows, not the pairs."""
 
-from quartzflow.operators import joins, trades
+import random
+from itertools import combinations
+
+from quartzflow.operators import graphs, joins, trades
 
 from tests.test_features import TRADE, tr
 
@@ -33,3 +36,23 @@ def test_timing_moves_histograms_not_pairs(spark):
     got, moved = shuffled(spark, lambda: [tuple(r) for r in joins.timing_correlation(s.filter("venue = 'amm'"), s.filter("venue = 'sdex'")).collect()])
     assert sorted(got) == sorted((f"amm{k}", f"sdex{k}", 3, 1.0) for k in range(150))
     assert moved < 10_000
+
+
+def test_motifs_move_neighbours_not_paths(spark):
+    # Many paths for few edges; counts against brute force.
+    rnd, nodes = random.Random(3), [f"n{k}" for k in range(120)]
+    edges = [(rnd.choice(nodes), rnd.choice(nodes)) for _ in range(2_400)] + [("hub", n) for n in nodes]
+    near = {n: set() for n in [*nodes, "hub"]}
+    for a, b in edges:
+        if a != b:
+            near[a].add(b), near[b].add(a)
+    shared = [(a, b, len(near[a] & near[b])) for a, b in combinations(near, 2)]
+    directed = {(a, b) for a, b in edges if a != b}
+    want = (sum(n for a, b, n in shared if b in near[a]) // 3, sum(len(n) * (len(n) - 1) // 2 for n in near.values()), sum(n * (n - 1) // 2 for *_, n in shared) // 2, round(sum((b, a) in directed for a, b in directed) / len(directed), 6))
+    got, moved = shuffled(spark, lambda: tuple(graphs.motifs(spark.createDataFrame(edges, "src string, dst string")).head()))
+    assert got == want
+    assert moved < 12 * len(edges)
+
+
+def test_motifs_of_no_edges(spark):
+    assert tuple(graphs.motifs(spark.createDataFrame([("a", "a")], "src string, dst string")).head()) == (0, None, 0, 0.0)
