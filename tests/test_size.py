@@ -56,3 +56,12 @@ def test_motifs_move_neighbours_not_paths(spark):
 
 def test_motifs_of_no_edges(spark):
     assert tuple(graphs.motifs(spark.createDataFrame([("a", "a")], "src string, dst string")).head()) == (0, None, 0, 0.0)
+
+
+def test_co_trades_move_gaps_not_couples(spark):
+    # 200 wallets meet on two pairs on one day: 19,900 couples from 400 trades.
+    w = [f"G{'A' * 53}{a}{b}" for a in "ABCDEFGHIJ" for b in "ABCDEFGHIJKLMNOPQRST"]
+    rows = [tr(k, 2 * k, x, None, 1, pair) for pair in "PQ" for k, x in enumerate(w)]
+    got, moved = shuffled(spark, lambda: {(r["src"], r["dst"]): r["weight"] for r in joins.weighted_co_trades(spark.createDataFrame(rows, TRADE), 86_400_000_000).collect()})
+    assert got == {(a, b): 2 * (k + 1) for k, a in enumerate(w) for b in w[k + 1 :]}
+    assert moved < 10_000
