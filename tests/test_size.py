@@ -65,3 +65,22 @@ def test_co_trades_move_gaps_not_couples(spark):
     got, moved = shuffled(spark, lambda: {(r["src"], r["dst"]): r["weight"] for r in joins.weighted_co_trades(spark.createDataFrame(rows, TRADE), 86_400_000_000).collect()})
     assert got == {(a, b): 2 * (k + 1) for k, a in enumerate(w) for b in w[k + 1 :]}
     assert moved < 10_000
+
+
+def test_co_trades_move_a_trade_and_a_gap_once(spark):
+    # 6,000 trades of 80 wallets in 60 days; once spans, events and gaps moved apart, and the gaps twice.
+    rnd, w = random.Random(7), [f"G{'A' * 53}{a}{b}" for a in "ABCDEFGH" for b in "ABCDEFGHIJ"]
+    rows = [tr(k, rnd.randrange(60 * 86_400), rnd.choice(w), rnd.choice(w), 1, rnd.choice("PQR")) for k in range(6_000)]
+    df = spark.createDataFrame(rows, TRADE)
+    stages = spark.sparkContext._jsc.sc().statusStore
+    none = spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), spark.sparkContext._jvm.java.util.ArrayList()
+
+    def total():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        got = stages().stageList(None, False, False, *none)
+        return sum(got.apply(k).shuffleWriteBytes() for k in range(got.size()))
+
+    before = total()
+    _, moved = shuffled(spark, lambda: joins.weighted_co_trades(df, 86_400_000_000).count())
+    assert moved < 3 * len(rows)
+    assert total() - before < 100 * len(rows)

@@ -7,6 +7,7 @@ from decimal import Decimal
 from itertools import combinations
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 
 from quartzflow.operators import joins, trades, wallets
@@ -68,3 +69,36 @@ def test_weighted_co_trades_count_anchors_within_a_day(spark):
             want[pair] = [want[pair][0] + 1, max(want[pair][1], us)]
     got = joins.weighted_co_trades(spark.createDataFrame(rows, TRADE), 86_400_000_000).collect()
     assert {(r["src"], r["dst"]): [r["weight"], r["latest"]] for r in got} == dict(want)
+
+
+@pytest.mark.parametrize("blocks", [1, 5])
+def test_weighted_co_trades_of_busy_and_quiet_pairs(spark, monkeypatch, blocks):
+    # Many wallets at the same moments, some exactly a day apart, in one block and in many; the quiet pair has single couples.
+    monkeypatch.setattr(joins, "BLOCKS", blocks)
+    rnd, w = random.Random(11), [f"G{'A' * 53}{a}{b}" for a in "ABCDEFGHIJ" for b in "ABCDEFGHIJ"] + ["bad", None]
+    rows = [tr(k, 21_600 * rnd.randrange(28), rnd.choice(w), rnd.choice(w), 1, "P" if rnd.random() < 0.9 else "Q") for k in range(500)]
+    want, day = defaultdict(lambda: [0, 0]), dt.timedelta(days=1)
+    for a in rows:
+        seen = {x for r in rows if r[9] == a[9] and a[1] <= r[1] <= a[1] + day for x in r[2:4] if x and len(x) == 56}
+        us = int((a[1] - dt.datetime(1970, 1, 1)) / dt.timedelta(microseconds=1))
+        for pair in combinations(sorted(seen), 2):
+            want[pair] = [want[pair][0] + 1, max(want[pair][1], us)]
+    got = joins.weighted_co_trades(spark.createDataFrame(rows, TRADE), 86_400_000_000).collect()
+    assert len(got) == len(want) and {(r["src"], r["dst"]): [r["weight"], r["latest"]] for r in got} == dict(want)
+
+
+def test_weighted_co_trades_of_no_trades(spark):
+    assert joins.weighted_co_trades(spark.createDataFrame([tr(0, 0, "bad", None, 1)], TRADE), 86_400_000_000).collect() == []
+
+
+def test_gaps_do_not_depend_on_batches(monkeypatch):
+    rnd = random.Random(13)
+    rows = sorted((pair, span, 86_400 * (4 * span + rnd.randrange(5)) + rnd.randrange(86_400), rnd.choice([None, 3, 4, 5]), rnd.choice([None, -7, 8])) for pair in (1, 2) for span in (-1, 0) for _ in range(60))
+    t = pa.table({n: pa.array(x, pa.int64()) for n, x in zip(("pair", "span", "us", "a", "c"), zip(*rows))})
+
+    def gaps(batch, held):
+        monkeypatch.setattr(joins, "ROWS", held)
+        return sorted(z for x in joins._gaps(iter(t.to_batches(batch)), 86_400, 3) for z in zip(*(x[c][0].as_py() for c in joins.GAP)))
+
+    want = gaps(1000, 1000)
+    assert len(want) > 50 and gaps(7, 1) == want and gaps(7, 100) == want
